@@ -47,11 +47,19 @@ def missing_counts(df: DataFrame, total_name: str = "__total__") -> DataFrame:
     return row.select(F.explode(F.array(*pairs, total)).alias("s")).select("s.*")
 
 
-def columns_with_missing(df: DataFrame, cols: Sequence[str]) -> list[str]:
+def missing_and_present(df: DataFrame, cols: Sequence[str]) -> tuple[dict, dict]:
+    """One pass: ({col: n_missing}, {col: n_present})."""
     if not cols:
-        return []
-    row = df.agg(*[F.count_if(_is_missing(df, c)).alias(f"m{j}") for j, c in enumerate(cols)]).first()
-    return [c for j, c in enumerate(cols) if row[f"m{j}"] > 0]
+        return {}, {}
+    row = df.agg(*[F.count_if(_is_missing(df, c)).alias(f"m{j}") for j, c in enumerate(cols)],
+                 *[F.count(F.col(f"`{c}`")).alias(f"n{j}") for j, c in enumerate(cols)]).first()
+    return ({c: row[f"m{j}"] for j, c in enumerate(cols)},
+            {c: row[f"n{j}"] for j, c in enumerate(cols)})
+
+
+def columns_with_missing(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    missing, _ = missing_and_present(df, cols)
+    return [c for c in cols if missing[c] > 0]
 
 
 def impute_median(df: DataFrame, cols: Sequence[str] | None = None,
@@ -61,10 +69,12 @@ def impute_median(df: DataFrame, cols: Sequence[str] | None = None,
     Integral columns with NULLs become double (as pandas makes them float).
     An all-NULL column stays NULL. ``exact=False`` uses one sketch pass."""
     cols = list(cols) if cols is not None else numeric_columns(df, exclude)
-    todo = columns_with_missing(df, cols)
+    missing, present = missing_and_present(df, cols)
+    todo = [c for c in cols if missing[c] > 0]
     if not todo:
         return df
-    q = (exact_quantiles if exact else approx_quantiles)(df, todo, [0.5])
+    q = (exact_quantiles(df, todo, [0.5], counts=present) if exact
+         else approx_quantiles(df, todo, [0.5]))
     fills = {}
     for c in todo:
         m = q[(c, 0.5)]

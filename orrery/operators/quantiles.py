@@ -25,15 +25,19 @@ def _val(c: str):
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    accuracy: int = 10000, max_exact: int = 2_000_000) -> dict:
-    """Return ``{(col, p): value or None}``; NULLs are skipped, all-NULL -> None."""
+                    accuracy: int = 10000, max_exact: int = 2_000_000,
+                    counts: dict | None = None) -> dict:
+    """Return ``{(col, p): value or None}``; NULLs are skipped, all-NULL -> None.
+    ``counts`` (non-NULL count per column) saves a pass when already known."""
     cols, probs = list(cols), [float(p) for p in probs]
     if not cols:
         return {}
-    counts = df.agg(*[F.count(_val(c)).alias(f"n{j}") for j, c in enumerate(cols)]).first()
+    if counts is None:
+        row = df.agg(*[F.count(_val(c)).alias(f"n{j}") for j, c in enumerate(cols)]).first()
+        counts = {c: row[f"n{j}"] for j, c in enumerate(cols)}
     items = []  # [col, p, k_lo, k_hi, frac, lo, hi, below, inside]
-    for j, c in enumerate(cols):
-        n = counts[f"n{j}"]
+    for c in cols:
+        n = counts[c]
         for p in probs:
             if n == 0:
                 items.append([c, p, None, None, None, None, None, 0, 0])

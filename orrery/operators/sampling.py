@@ -22,7 +22,6 @@ from orrery.functions.columns import hash_unit, hex_prefix_int, key_hash
 
 BUCKET_HEX = 4                      # 16-bit buckets
 N_BUCKETS = 1 << (4 * BUCKET_HEX)
-BROADCAST_GROUPS = 200_000          # broadcast the per-group cutoff table up to this size
 
 
 def select_first_per_group(df: DataFrame, group: str, quotas: DataFrame,
@@ -42,8 +41,9 @@ def select_first_per_group(df: DataFrame, group: str, quotas: DataFrame,
     cut = (per_bucket.where(F.col("_cum") >= F.col("_q"))
              .groupBy(group).agg(F.min(F.struct("_b", (F.col("_q") - F.col("_cum") + F.col("_cnt")).alias("_need"))).alias("m"))
              .select(group, F.col("m._b").alias("_cut"), F.col("m._need").alias("_need")))
-    n_groups = cut.count()
-    cut_j = F.broadcast(cut) if n_groups <= BROADCAST_GROUPS else cut
+    # one row per group: AQE measures it after its shuffle and broadcasts it
+    # when it is under the broadcast threshold (a runtime size check)
+    cut_j = cut
     joined = hd.join(cut_j, hd[group].eqNullSafe(cut_j[group]), "left").drop(cut_j[group])
     # groups whose quota exceeds their size have no cutoff row: everything selected
     cutoff = F.coalesce(F.col("_cut"), F.lit(N_BUCKETS))

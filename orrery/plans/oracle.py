@@ -57,3 +57,289 @@ SQL: dict[str, str] = {}
 
 SQL["split_counts"] = with_(SPLIT, """
 SELECT class, data_split, count(*) AS n_rows FROM split GROUP BY class, data_split""")
+
+# ---------------------------------------------------------------------------
+from orrery.sources.observations import NUMERIC_COLUMNS, OBSERVATION_TYPES  # noqa: E402
+
+DOUBLE_COLS = [c for c, t in OBSERVATION_TYPES.items() if t == "double"]
+OBS_COLS = list(OBSERVATION_TYPES)
+ENCODED_NUMERIC = NUMERIC_COLUMNS + ["class", "u_g", "g_r", "r_i", "i_z"]
+BANDS = ["u", "g", "r", "i", "z"]
+COLOR = ["u_g", "g_r", "r_i", "i_z"]
+HEX13 = "CAST(('0x' || substr({h}, 1, 13)) AS BIGINT) / 4503599627370496.0"
+HEX8 = "CAST(('0x' || substr({h}, 1, 8)) AS BIGINT)"
+
+SQL["stratified_split"] = with_(SPLIT, "SELECT obj_id, class, data_split FROM split")
+
+SQL["random_split"] = with_(OBS, f"""
+SELECT obj_id, CASE WHEN {HEX13.format(h="md5(obj_id || ':42')")} < 0.33
+                    THEN 'TEST' ELSE 'TRAIN' END AS data_split
+FROM observations""")
+
+SQL["cv_folds"] = with_(CLEANED, f"""
+SELECT CAST({HEX8.format(h="md5(obj_id || ':42')")} % 3 AS INTEGER) AS fold, count(*) AS n_rows
+FROM cleaned GROUP BY 1""")
+
+
+def _missing_sql() -> str:
+    parts = []
+    for j, c in enumerate(OBS_COLS):
+        cond = f"{c} IS NULL" + (f" OR isnan({c})" if c in DOUBLE_COLS else "")
+        parts.append(f"SELECT '{c}' AS column_name, {j} AS ordinal, "
+                     f"count(*) FILTER (WHERE {cond}) AS n_missing FROM observations")
+    total = " + ".join(
+        f"count(*) FILTER (WHERE {c} IS NULL" + (f" OR isnan({c}))" if c in DOUBLE_COLS else ")")
+        for c in OBS_COLS)
+    parts.append(f"SELECT '__total__', {len(OBS_COLS)}, CAST({total} AS BIGINT) FROM observations")
+    return with_(OBS, "\nUNION ALL ".join(parts))
+
+
+SQL["missing_counts"] = _missing_sql()
+SQL["clean_impute"] = with_(CLEANED, "SELECT * FROM cleaned")
+SQL["color_indices"] = with_(FEATURED, "SELECT obj_id, u_g, g_r, r_i, i_z FROM featured")
+SQL["encode_map"] = with_(ENCODED, "SELECT obj_id, class FROM encoded")
+SQL["encode_auto"] = with_(OBS, """
+SELECT obj_id, CASE WHEN class IS NULL THEN NULL
+                    ELSE CAST(dense_rank() OVER (ORDER BY class) - 1 AS INTEGER) END AS class
+FROM observations""")
+SQL["encode_default"] = with_(OBS, """
+SELECT obj_id, CASE WHEN class = 'GALAXY' THEN 0 WHEN class = 'STAR' THEN 1 ELSE 2 END AS class
+FROM observations""")
+SQL["feature_select"] = with_(FEATURED,
+                              "SELECT * EXCLUDE (obj_id, alpha, delta, rerun_id, fiber_id) FROM featured")
+SQL["conform"] = with_(FEATURED, """
+SELECT obj_id, u, g, r, i, z, u_g, g_r, r_i, i_z, redshift, CAST(plate AS DOUBLE) AS plate,
+       CAST(0.0 AS DOUBLE) AS specobjid, CAST(0.0 AS DOUBLE) AS mjd
+FROM featured""")
+SQL["prepare_ingest"] = with_(OBS, """
+SELECT * EXCLUDE (delta, is_processed), delta AS delta_coord, false AS is_processed,
+       CAST(NULL AS VARCHAR) AS data_split
+FROM observations""")
+
+
+def _validate_sql() -> str:
+    reasons = []
+    for b in BANDS:
+        reasons += [f"CASE WHEN {b} IS NULL THEN '{b}: missing' END",
+                    f"CASE WHEN {b} IS NOT NULL AND TRY_CAST({b} AS DOUBLE) IS NULL "
+                    f"THEN '{b}: not double' END"]
+    reasons += ["CASE WHEN class IS NULL THEN 'class: missing' END",
+                "CASE WHEN class IS NOT NULL AND class NOT IN ('GALAXY', 'STAR', 'QSO') "
+                "THEN 'class: not allowed' END"]
+    arr = "list_filter([" + ", ".join(reasons) + "], lambda x: x IS NOT NULL)"
+    typed = ", ".join(f"TRY_CAST({b} AS DOUBLE) AS {b}" for b in BANDS)
+    return with_(OBS + f""",
+raw AS (SELECT obj_id, {", ".join(f"CAST({b} AS VARCHAR) AS {b}" for b in BANDS)}, class
+        FROM observations),
+chk AS (SELECT obj_id, {typed}, class, {arr} AS e FROM raw)""", """
+SELECT obj_id, u, g, r, i, z, class, CAST(len(e) AS INTEGER) AS n_errors, len(e) = 0 AS is_valid,
+       array_to_string(e, '; ') AS errors
+FROM chk""")
+
+
+SQL["validate_rows"] = _validate_sql()
+
+_SC = BANDS + COLOR
+SQL["standardize"] = with_(SPLIT + ",\nst AS (SELECT " + ", ".join(
+    f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _SC) + " FROM split WHERE data_split = 'TRAIN')",
+    "SELECT obj_id, data_split, " + ", ".join(
+        f"round(({c} - m_{c}) / CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1 ELSE s_{c} END, 6) AS {c}"
+        for c in _SC) + " FROM split, st")
+
+
+def _describe_sql() -> str:
+    parts = []
+    for c in NUMERIC_COLUMNS:
+        v = f"CAST({c} AS DOUBLE)"
+        parts.append(
+            f"SELECT '{c}' AS column_name, count({v}) AS count, round(avg({v}), 6) AS mean, "
+            f"round(stddev_samp({v}), 6) AS std, round(min({v}), 6) AS min, "
+            f"round(quantile_cont({v}, 0.25), 6) AS q25, round(quantile_cont({v}, 0.5), 6) AS q50, "
+            f"round(quantile_cont({v}, 0.75), 6) AS q75, round(max({v}), 6) AS max FROM cleaned")
+    return with_(CLEANED, "\nUNION ALL ".join(parts))
+
+
+SQL["describe"] = _describe_sql()
+SQL["class_distribution"] = with_(CLEANED, """
+SELECT class, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share
+FROM cleaned GROUP BY class""")
+
+
+def _corr_expr(a: str, b: str) -> str:
+    return (f"round(covar_samp({a}, {b}) / NULLIF("
+            f"stddev_samp(CASE WHEN {b} IS NOT NULL THEN {a} END) * "
+            f"stddev_samp(CASE WHEN {a} IS NOT NULL THEN {b} END), 0), 6)")
+
+
+def _corr_sql(cols, only_with: str | None = None) -> str:
+    aggs, sel = [], []
+    for ai, a in enumerate(cols):
+        for bi in range(ai, len(cols)):
+            b = cols[bi]
+            name = f"c{ai}_{bi}"
+            aggs.append(f"{_corr_expr(a, b)} AS {name}")
+            pairs = [(a, b)] + ([(b, a)] if a != b else [])
+            for x, y in pairs:
+                if only_with is None:
+                    sel.append(f"SELECT '{x}' AS col_a, '{y}' AS col_b, {name} AS corr FROM m")
+                elif y == only_with and x != only_with:
+                    sel.append(f"SELECT '{x}' AS column_name, {name} AS corr FROM m")
+    return with_(ENCODED + ",\nm AS MATERIALIZED (SELECT " + ",\n  ".join(aggs) + " FROM encoded)",
+                 "\nUNION ALL ".join(sel))
+
+
+SQL["correlation_matrix"] = _corr_sql(ENCODED_NUMERIC)
+SQL["target_correlation"] = _corr_sql(ENCODED_NUMERIC, only_with="class")
+SQL["table_stats"] = with_(SPLIT, """
+SELECT count(*) AS total_records,
+       CAST(sum(CASE WHEN is_processed THEN 1 ELSE 0 END) AS BIGINT) AS processed_records,
+       count(DISTINCT class) AS unique_classes, count(DISTINCT data_split) AS data_splits
+FROM split""")
+SQL["table_info"] = """
+SELECT column_name, CAST(ordinal_position AS INTEGER) AS ordinal,
+       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+                      WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
+                      WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'BOOLEAN' THEN 'boolean'
+                      ELSE lower(data_type) END AS data_type,
+       (SELECT count(*) FROM lineitem) AS n_rows
+FROM information_schema.columns WHERE table_name = 'lineitem'"""
+
+SCORED = SPLIT + """,
+scored AS (
+  SELECT obj_id, class AS label,
+         CASE WHEN u > 24 AND r > 4 THEN 0 WHEN g > 45 THEN 1 ELSE 2 END AS prediction,
+         CASE WHEN u > 25 AND r > 5 THEN 0 WHEN g > 50 THEN 1 ELSE 2 END AS prediction_b,
+         (u + r) / 60.0 AS s0, g / 105.0 AS s1, (60 - u) / 60.0 AS s2
+  FROM split WHERE data_split = 'TEST'),
+labs AS (SELECT label AS v FROM scored UNION SELECT prediction FROM scored),
+cm AS (
+  SELECT t.v AS true_label, p.v AS pred_label,
+         (SELECT count(*) FROM scored s WHERE s.label = t.v AND s.prediction = p.v) AS n
+  FROM labs t, labs p)"""
+
+SQL["accuracy"] = with_(SCORED, """
+SELECT round(avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+       count(*) AS n FROM scored""")
+SQL["confusion_matrix"] = with_(SCORED, "SELECT true_label, pred_label, n FROM cm")
+
+REPORT = SCORED + """,
+pc AS (
+  SELECT t.lab, t.support, t.tp, p.predicted,
+         CASE WHEN p.predicted > 0 THEN t.tp / p.predicted ELSE 0.0 END AS precision,
+         CASE WHEN t.support > 0 THEN t.tp / t.support ELSE 0.0 END AS recall
+  FROM (SELECT true_label AS lab, sum(n) AS support,
+               sum(CASE WHEN true_label = pred_label THEN n ELSE 0 END) AS tp
+        FROM cm GROUP BY 1) t
+  JOIN (SELECT pred_label AS lab, sum(n) AS predicted FROM cm GROUP BY 1) p USING (lab)),
+pcf AS (
+  SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+                 ELSE 0.0 END AS f1 FROM pc)"""
+
+SQL["classification_report"] = with_(REPORT, """
+SELECT ['GALAXY', 'STAR', 'QSO'][lab + 1] AS label, round(precision, 6) AS precision,
+       round(recall, 6) AS recall, round(f1, 6) AS f1_score, CAST(support AS BIGINT) AS support
+FROM pcf
+UNION ALL
+SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM pcf
+UNION ALL
+SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+       CAST(sum(support) AS BIGINT) FROM pcf
+UNION ALL
+SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+       round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+       CAST(sum(support) AS BIGINT) FROM pcf""")
+
+SQL["prediction_error"] = with_(SCORED, """
+SELECT pred_label, true_label, n,
+       round(n / NULLIF(sum(n) OVER (PARTITION BY pred_label), 0), 6) AS share FROM cm""")
+
+ROC = SCORED + """,
+sl AS (
+  SELECT 0 AS cls, s0 AS score, label FROM scored UNION ALL
+  SELECT 1, s1, label FROM scored UNION ALL
+  SELECT 2, s2, label FROM scored),
+d AS (
+  SELECT cls, score, CAST(sum(CASE WHEN label = cls THEN 1 ELSE 0 END) AS BIGINT) AS pos,
+         CAST(sum(CASE WHEN label = cls THEN 0 ELSE 1 END) AS BIGINT) AS neg
+  FROM sl WHERE score IS NOT NULL GROUP BY cls, score),
+r AS (
+  SELECT *, coalesce(sum(pos) OVER w, 0) AS below_pos, coalesce(sum(neg) OVER w, 0) AS below_neg,
+         sum(pos) OVER (PARTITION BY cls) AS P, sum(neg) OVER (PARTITION BY cls) AS Nn
+  FROM d WINDOW w AS (PARTITION BY cls ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+
+SQL["roc_points"] = with_(ROC, """
+SELECT cls AS class, score AS threshold, CAST(P - below_pos AS BIGINT) AS tp,
+       CAST(Nn - below_neg AS BIGINT) AS fp,
+       round((P - below_pos) / NULLIF(P, 0), 6) AS tpr, round((Nn - below_neg) / NULLIF(Nn, 0), 6) AS fpr
+FROM r""")
+SQL["roc_auc"] = with_(ROC, """
+SELECT cls AS class,
+       round(CAST(sum(neg * (2 * (P - below_pos - pos) + pos)) AS DOUBLE)
+             / NULLIF(2.0 * any_value(P) * any_value(Nn), 0), 6) AS auc
+FROM r GROUP BY cls""")
+
+SQL["select_best"] = with_(SCORED + """,
+acc AS (SELECT avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) AS a_rf,
+               avg(CASE WHEN label = prediction_b THEN 1.0 ELSE 0.0 END) AS a_svm FROM scored)""", """
+SELECT CASE WHEN a_svm > a_rf THEN 'svm' ELSE 'random_forest' END AS best_model,
+       round(greatest(a_rf, a_svm), 6) AS best_accuracy FROM acc""")
+
+
+def _metrics_sql() -> str:
+    runs = {"rule_a": "prediction", "rule_b": "prediction_b"}
+    parts = []
+    for run, p in runs.items():
+        parts.append(f"""
+SELECT '{run}' AS run_id, lab, count(*) FILTER (WHERE label = lab) AS support,
+       count(*) FILTER (WHERE {p} = lab) AS predicted,
+       count(*) FILTER (WHERE label = lab AND {p} = lab) AS tp
+FROM scored, (SELECT label AS lab FROM scored UNION SELECT {p} FROM scored) GROUP BY lab""")
+    return with_(SCORED + ",\nper AS (" + " UNION ALL ".join(parts) + """),
+prf AS (SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS p,
+               CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS rc FROM per),
+f AS (SELECT *, CASE WHEN p + rc > 0 THEN 2 * p * rc / (p + rc) ELSE 0.0 END AS f1 FROM prf),
+m AS (
+  SELECT run_id, 'accuracy' AS metric, round(sum(tp) / sum(support), 6) AS value FROM f GROUP BY run_id
+  UNION ALL SELECT run_id, 'f1_macro', round(avg(f1), 6) FROM f GROUP BY run_id
+  UNION ALL SELECT run_id, 'test_samples', CAST(sum(support) AS DOUBLE) FROM f GROUP BY run_id),
+b AS (SELECT *, row_number() OVER (PARTITION BY metric ORDER BY value DESC, run_id DESC) AS rn FROM m)""",
+                 "SELECT metric, run_id AS best_run, value AS best_value FROM b WHERE rn = 1")
+
+
+SQL["metrics_history"] = _metrics_sql()
+SQL["training_view"] = with_(SPLIT, """
+SELECT obj_id, alpha, delta, u, g, r, i, z, u_g, g_r, r_i, i_z, redshift, plate, fiber_id, class, data_split
+FROM split WHERE is_processed""")
+SQL["feature_view"] = with_(OBS, """
+SELECT obj_id, u, g, r, i, z, u - g AS calculated_u_g, g - r AS calculated_g_r,
+       r - i AS calculated_r_i, i - z AS calculated_i_z, redshift, class, is_processed
+FROM observations WHERE NOT is_processed""")
+SQL["sample_processed"] = with_(SPLIT, """
+SELECT obj_id, u, g, r, i, z, u_g, g_r, r_i, i_z, class, is_processed
+FROM split WHERE is_processed ORDER BY obj_id LIMIT 100""")
+SQL["bulk_load"] = with_(OBS, """
+SELECT obj_id, class, false AS is_processed FROM observations
+UNION ALL
+SELECT obj_id, class, false AS is_processed FROM observations""")
+SQL["ingest_refresh"] = SQL["prepare_ingest"]
+SQL["table_read"] = with_(OBS, "SELECT * FROM observations WHERE is_processed ORDER BY obj_id")
+SQL["param_query"] = with_(OBS, """
+SELECT class, count(*) AS n_rows, round(avg(g), 6) AS mean_g FROM observations WHERE u > 25 GROUP BY class""")
+SQL["split_sink"] = with_(SPLIT, "SELECT data_split, class, count(*) AS n_rows FROM split GROUP BY ALL")
+SQL["run_log"] = with_(OBS, """
+SELECT 'INGEST_20240101_000000' AS run_id, 'INGESTION' AS run_type, 'COMPLETED' AS status,
+       count(*) AS records_processed, TIMESTAMP '2024-01-01 00:00:00' AS start_time,
+       TIMESTAMP '2024-01-01 00:00:00' AS end_time, CAST(NULL AS VARCHAR) AS error_message,
+       CAST(json_object('processed_records', count(*),
+            'feature_columns', ['u_g_color', 'g_r_color', 'r_i_color', 'i_z_color']) AS VARCHAR) AS metadata
+FROM observations""")
+SQL["process_incremental"] = with_(OBS + """,
+med AS (SELECT """ + ", ".join(f"median({b}) AS m_{b}" for b in BANDS) + """
+        FROM observations WHERE NOT is_processed),
+f AS (SELECT o.obj_id, o.is_processed, o.class, """ + ", ".join(
+    f"coalesce(o.{b}, m_{b}) AS {b}" for b in BANDS) + """ FROM observations o, med)""", """
+SELECT obj_id, is_processed OR class IS NOT NULL AS is_processed,
+""" + ",\n".join(f"CASE WHEN NOT is_processed AND class IS NOT NULL THEN {a} - {b} END AS {a}_{b}_color"
+                 for a, b in zip(BANDS[:-1], BANDS[1:])) + """,
+CASE WHEN NOT is_processed AND class IS NOT NULL THEN TIMESTAMP '2024-01-01 00:00:00' END AS updated_at
+FROM f""")

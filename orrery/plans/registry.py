@@ -6,10 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orrery.plans import prepare
+from orrery.plans.catalog import QUERIES as _CATALOG
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-QUERIES: dict[str, Query] = {
-    "split_counts": prepare.split_counts,
-}
+QUERIES: dict[str, Query] = dict(_CATALOG)

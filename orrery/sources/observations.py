@@ -31,6 +31,14 @@ OBSERVATION_COLUMNS: list[str] = [
     "l_orderkey % 3 <> 0 AS is_processed",
 ]
 
+# Types of the stand-in columns (Spark simple type names).
+OBSERVATION_TYPES: dict[str, str] = {
+    "obj_id": "string", "alpha": "double", "delta": "double", "u": "double", "g": "double",
+    "r": "double", "i": "double", "z": "double", "rerun_id": "int", "redshift": "double",
+    "plate": "int", "fiber_id": "int", "class": "string", "is_processed": "boolean",
+}
+NUMERIC_COLUMNS = [c for c, t in OBSERVATION_TYPES.items() if t in ("double", "int")]
+
 # Columns the stand-in uses for the five photometric bands, in band order.
 BANDS = ["u", "g", "r", "i", "z"]
 KEY = "obj_id"
