@@ -291,3 +291,49 @@ QUERIES = {
     "run_log": q_run_log,
     "process_incremental": q_process_incremental,
 }
+
+
+# -- neighbours -------------------------------------------------------------
+def _embeddings(spark, sf):
+    return read_table(spark, sf, "embeddings")
+
+
+def q_knn_join(spark, sf):
+    from orrery.operators.neighbors import knn_join
+    return knn_join(_embeddings(spark, sf), 5, "vec_id", "embedding").select(
+        "vec_id", "neighbor_id", "rank", F.round("distance", 6).alias("distance"))
+
+
+def q_lof_scores(spark, sf):
+    from orrery.operators.neighbors import lof_scores
+    return lof_scores(_embeddings(spark, sf), 20, "vec_id", "embedding").select(
+        "vec_id", F.round("lof_score", 6).alias("lof_score"))
+
+
+def q_lof_filter(spark, sf):
+    from orrery.operators.neighbors import lof_filter
+    return lof_filter(_embeddings(spark, sf), 20, "vec_id", "embedding",
+                      contamination=0.1).select("vec_id", "label")
+
+
+def q_smote(spark, sf):
+    from orrery.operators.smote import smote
+    out = smote(_embeddings(spark, sf), "label", "vec_id", "embedding", k=5, seed=42)
+    return out.select("vec_id", "label", F.transform("embedding", lambda x: F.round(x, 6)).alias("embedding"),
+                      "is_synthetic", "source_id", "copy_no", "neighbor_id")
+
+
+def q_smote_counts(spark, sf):
+    from orrery.operators.smote import smote
+    out = smote(_embeddings(spark, sf), "label", "vec_id", "embedding", k=5, seed=42)
+    return out.groupBy("label").agg(F.count("*").alias("n_rows"),
+                                    F.sum(F.col("is_synthetic").cast("int")).cast("long").alias("n_synthetic"))
+
+
+QUERIES.update({
+    "knn_join": q_knn_join,
+    "lof_scores": q_lof_scores,
+    "lof_filter": q_lof_filter,
+    "smote": q_smote,
+    "smote_counts": q_smote_counts,
+})

@@ -343,3 +343,63 @@ SELECT obj_id, is_processed OR class IS NOT NULL AS is_processed,
                  for a, b in zip(BANDS[:-1], BANDS[1:])) + """,
 CASE WHEN NOT is_processed AND class IS NOT NULL THEN TIMESTAMP '2024-01-01 00:00:00' END AS updated_at
 FROM f""")
+
+# -- neighbours (direct pair join: the oracle may be quadratic) --------------
+PTS = "pts AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
+
+
+def _nn_cte(k: int, within: str = "") -> str:
+    return f"""
+pairs AS (
+  SELECT a.vec_id, b.vec_id AS neighbor_id, list_distance(a.v, b.v) AS distance
+  FROM pts a JOIN pts b ON a.vec_id <> b.vec_id {within}),
+nn AS (
+  SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor_id)
+                                AS INTEGER) AS rank FROM pairs) WHERE rank <= {k})"""
+
+
+SQL["knn_join"] = with_(PTS + "," + _nn_cte(5), """
+SELECT vec_id, neighbor_id, rank, round(distance, 6) AS distance FROM nn""")
+
+LOF = PTS + "," + _nn_cte(20) + """,
+kd AS (SELECT vec_id AS o, max(distance) AS kd FROM nn GROUP BY 1),
+lrd AS (SELECT nn.vec_id AS p, 1.0 / (avg(greatest(kd.kd, nn.distance)) + 1e-10) AS lrd
+        FROM nn JOIN kd ON nn.neighbor_id = kd.o GROUP BY 1),
+lof AS (SELECT nn.vec_id, -avg(l2.lrd) / any_value(l1.lrd) AS lof_score
+        FROM nn JOIN lrd l2 ON nn.neighbor_id = l2.p JOIN lrd l1 ON nn.vec_id = l1.p GROUP BY nn.vec_id)"""
+
+SQL["lof_scores"] = with_(LOF, "SELECT vec_id, round(lof_score, 6) AS lof_score FROM lof")
+SQL["lof_filter"] = with_(LOF + """,
+thr AS (SELECT quantile_cont(lof_score, 0.1) AS t FROM lof)""", """
+SELECT e.vec_id, e.label FROM embeddings e JOIN lof USING (vec_id), thr WHERE lof.lof_score >= thr.t""")
+
+SMOTE = PTS + "," + _nn_cte(5, "AND a.label = b.label") + """,
+cnt AS (SELECT label, count(*) AS n FROM pts GROUP BY label),
+q AS (SELECT label, n, (max(n) OVER () - n) // n AS base, (max(n) OVER () - n) % n AS extra,
+             least(5, n - 1) AS kk FROM cnt),
+rk AS (SELECT p.*, row_number() OVER (PARTITION BY label
+                   ORDER BY md5(CAST(vec_id AS VARCHAR) || ':42'), vec_id) AS rn FROM pts p),
+cp AS (SELECT rk.vec_id, rk.label, rk.v, q.kk,
+              q.base + CASE WHEN rk.rn <= q.extra THEN 1 ELSE 0 END AS copies
+       FROM rk JOIN q USING (label)),
+syn AS (SELECT vec_id, label, v, kk, CAST(unnest(generate_series(0, copies - 1)) AS BIGINT) AS copy_no
+        FROM cp WHERE copies > 0),
+ch AS (SELECT *, CAST(1 + CAST(('0x' || substr(h, 1, 8)) AS BIGINT) % kk AS INTEGER) AS nn_rank,
+              CAST(('0x' || substr(h, 9, 13)) AS BIGINT) / 4503599627370496.0 AS u
+       FROM (SELECT *, md5(CAST(vec_id AS VARCHAR) || ':' || CAST(copy_no AS VARCHAR) || ':42') AS h FROM syn)),
+out AS (
+  SELECT vec_id, label, v AS embedding, false AS is_synthetic, vec_id AS source_id,
+         CAST(NULL AS BIGINT) AS copy_no, CAST(NULL AS BIGINT) AS neighbor_id FROM pts
+  UNION ALL
+  SELECT CAST(NULL AS BIGINT), ch.label,
+         list_transform(list_zip(ch.v, b.v), lambda x: x[1] + ch.u * (x[2] - x[1])),
+         true, ch.vec_id, ch.copy_no, nn.neighbor_id
+  FROM ch JOIN nn ON nn.vec_id = ch.vec_id AND nn.rank = ch.nn_rank
+          JOIN pts b ON b.vec_id = nn.neighbor_id)"""
+
+SQL["smote"] = with_(SMOTE, """
+SELECT vec_id, label, list_transform(embedding, lambda x: round(x, 6)) AS embedding, is_synthetic,
+       source_id, copy_no, neighbor_id FROM out""")
+SQL["smote_counts"] = with_(SMOTE, """
+SELECT label, count(*) AS n_rows, CAST(sum(CAST(is_synthetic AS INTEGER)) AS BIGINT) AS n_synthetic
+FROM out GROUP BY label""")
