@@ -337,3 +337,55 @@ QUERIES.update({
     "smote": q_smote,
     "smote_counts": q_smote_counts,
 })
+
+
+# -- modelling (rows-only checks: no SQL states a fitted model) --------------
+FEATURES = ["alpha", "delta", "u", "g", "r", "i", "z", "rerun_id", "redshift", "plate", "fiber_id",
+            "u_g", "g_r", "r_i", "i_z"]
+
+
+def labelled_split(spark, sf) -> DataFrame:
+    return prepare.split_observations(spark, sf).withColumnRenamed(TARGET, "label")
+
+
+def _fit_report(model, test: DataFrame, name: str) -> DataFrame:
+    pred = model.transform(test)
+    rep = E.classification_report(pred, "label", "prediction", labels=CODES, names=CLASS_LABELS)
+    return rep.select(F.lit(name).alias("model"), "*")
+
+
+def q_train_rf(spark, sf):
+    from orrery.operators.train import train_random_forest
+    df = labelled_split(spark, sf)
+    m = train_random_forest(df.where("data_split = 'TRAIN'"), FEATURES, "label", num_trees=100)
+    return _fit_report(m, df.where("data_split = 'TEST'"), "random_forest")
+
+
+def q_train_kernel_svm(spark, sf):
+    from orrery.operators.train import train_kernel_svm
+    df = labelled_split(spark, sf)
+    m = train_kernel_svm(df.where("data_split = 'TRAIN'"), FEATURES, "label")
+    return _fit_report(m, df.where("data_split = 'TEST'"), "svm")
+
+
+def q_score_batch(spark, sf):
+    from orrery.operators.score import score
+    from orrery.operators.train import train_random_forest
+    df = labelled_split(spark, sf)
+    m = train_random_forest(df.where("data_split = 'TRAIN'"), FEATURES, "label", num_trees=20)
+    return score(prepare.cleaned_observations(spark, sf), m, FEATURES, CLASS_LABELS,
+                 keep=[KEY], model_version="random_forest")
+
+
+def q_confidence_band(spark, sf):
+    from orrery.functions.columns import confidence_band
+    s = scored_test(spark, sf)
+    return s.select(KEY, confidence_band(F.greatest("s0", "s1", "s2")).alias("confidence"))
+
+
+QUERIES.update({
+    "train_rf": q_train_rf,
+    "train_kernel_svm": q_train_kernel_svm,
+    "score_batch": q_score_batch,
+    "confidence_band": q_confidence_band,
+})

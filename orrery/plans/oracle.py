@@ -403,3 +403,8 @@ SELECT vec_id, label, list_transform(embedding, lambda x: round(x, 6)) AS embedd
 SQL["smote_counts"] = with_(SMOTE, """
 SELECT label, count(*) AS n_rows, CAST(sum(CAST(is_synthetic AS INTEGER)) AS BIGINT) AS n_synthetic
 FROM out GROUP BY label""")
+
+SQL["confidence_band"] = with_(SCORED, """
+SELECT obj_id, CASE WHEN greatest(s0, s1, s2) > 0.8 THEN 'High'
+                    WHEN greatest(s0, s1, s2) > 0.6 THEN 'Medium' ELSE 'Low' END AS confidence
+FROM scored""")
