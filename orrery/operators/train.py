@@ -115,18 +115,20 @@ def rbf_gamma_scale(train: DataFrame, features: Sequence[str]) -> float:
 
 def train_kernel_svm(train: DataFrame, features: Sequence[str], label: str = "label",
                      C: float = 1.0, gamma: float | str = "scale", dim: int = 256,
-                     max_iter: int = 100, seed: int = 42) -> PipelineModel:
+                     max_iter: int = 100, tol: float = 1e-6, seed: int = 42,
+                     parallelism: int = 4) -> PipelineModel:
     """RBF-kernel SVM approximation with calibrated class probabilities."""
     n = train.count()
     g = rbf_gamma_scale(train, features) if gamma == "scale" else (
         1.0 / len(features) if gamma == "auto" else float(gamma))
     svc = LinearSVC(featuresCol="rff", labelCol=label, regParam=1.0 / (C * max(n, 1)),
-                    maxIter=max_iter, standardization=False, rawPredictionCol="margins")
+                    maxIter=max_iter, tol=tol, standardization=False, rawPredictionCol="margins")
     stages = [standard_scaler_stage(train, features), _assembler(features, True),
               RandomFourierFeatures(inputCol="features", outputCol="rff", dim=dim, gamma=g,
                                     numInputs=len(features), seed=seed),
               OneVsRest(classifier=svc, featuresCol="rff", labelCol=label,
-                        rawPredictionCol="margins", predictionCol="svm_prediction"),
+                        rawPredictionCol="margins", predictionCol="svm_prediction",
+                        parallelism=parallelism),
               LogisticRegression(featuresCol="margins", labelCol=label, family="multinomial",
                                  regParam=0.0, maxIter=100)]
     return Pipeline(stages=stages).fit(train)

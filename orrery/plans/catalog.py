@@ -344,8 +344,17 @@ FEATURES = ["alpha", "delta", "u", "g", "r", "i", "z", "rerun_id", "redshift", "
             "u_g", "g_r", "r_i", "i_z"]
 
 
+# Reference configuration values for the forest (its YAML declares max_depth 10).
+RF_TREES = 100
+RF_DEPTH = 10
+
+
 def labelled_split(spark, sf) -> DataFrame:
-    return prepare.split_observations(spark, sf).withColumnRenamed(TARGET, "label")
+    """The split table, materialised once into the shared checkpoint folder
+    (the reference's "save split sets" step): fitting and evaluation read it
+    many times and must not recompute the split."""
+    from orrery.session import cut_lineage
+    return cut_lineage(prepare.split_observations(spark, sf).withColumnRenamed(TARGET, "label"))
 
 
 def _fit_report(model, test: DataFrame, name: str) -> DataFrame:
@@ -357,7 +366,8 @@ def _fit_report(model, test: DataFrame, name: str) -> DataFrame:
 def q_train_rf(spark, sf):
     from orrery.operators.train import train_random_forest
     df = labelled_split(spark, sf)
-    m = train_random_forest(df.where("data_split = 'TRAIN'"), FEATURES, "label", num_trees=100)
+    m = train_random_forest(df.where("data_split = 'TRAIN'"), FEATURES, "label", num_trees=RF_TREES,
+                            max_depth=RF_DEPTH)
     return _fit_report(m, df.where("data_split = 'TEST'"), "random_forest")
 
 
@@ -372,7 +382,8 @@ def q_score_batch(spark, sf):
     from orrery.operators.score import score
     from orrery.operators.train import train_random_forest
     df = labelled_split(spark, sf)
-    m = train_random_forest(df.where("data_split = 'TRAIN'"), FEATURES, "label", num_trees=20)
+    m = train_random_forest(df.where("data_split = 'TRAIN'"), FEATURES, "label", num_trees=RF_TREES,
+                            max_depth=RF_DEPTH)
     return score(prepare.cleaned_observations(spark, sf), m, FEATURES, CLASS_LABELS,
                  keep=[KEY], model_version="random_forest")
 
@@ -389,3 +400,25 @@ QUERIES.update({
     "score_batch": q_score_batch,
     "confidence_band": q_confidence_band,
 })
+
+
+# -- streaming ----------------------------------------------------------------
+def q_stream_incremental(spark, sf):
+    """Unprocessed catalog rows land as files; one availableNow run processes
+    them, a second run finds nothing new; the sink holds the processed rows."""
+    import uuid
+
+    from orrery.session import ensure_checkpoint_dir
+    from orrery.streaming.incremental import read_sink, run_incremental
+    base = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex[:8]}"
+    src = observations(spark, sf).where(~F.col("is_processed"))
+    src.write.parquet(f"{base}/source")
+    args = dict(spark=spark, source=f"{base}/source", schema=src.schema, sink=f"{base}/sink",
+                checkpoint=f"{base}/checkpoint", now=FIXED_CLOCK)
+    run_incremental(**args)
+    if run_incremental(**args) != 0:
+        raise RuntimeError("second availableNow run re-processed rows")
+    return read_sink(spark, f"{base}/sink").select(KEY, "is_processed", *color_columns(), "updated_at")
+
+
+QUERIES["stream_incremental"] = q_stream_incremental

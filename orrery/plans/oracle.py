@@ -408,3 +408,13 @@ SQL["confidence_band"] = with_(SCORED, """
 SELECT obj_id, CASE WHEN greatest(s0, s1, s2) > 0.8 THEN 'High'
                     WHEN greatest(s0, s1, s2) > 0.6 THEN 'Medium' ELSE 'Low' END AS confidence
 FROM scored""")
+
+SQL["stream_incremental"] = with_(OBS + """,
+src AS (SELECT * FROM observations WHERE NOT is_processed),
+med AS (SELECT """ + ", ".join(f"median({b}) AS m_{b}" for b in BANDS) + """ FROM src),
+f AS (SELECT s.obj_id, s.class, """ + ", ".join(
+    f"coalesce(s.{b}, m_{b}) AS {b}" for b in BANDS) + """ FROM src s, med)""", """
+SELECT obj_id, true AS is_processed,
+""" + ",\n".join(f"{a} - {b} AS {a}_{b}_color" for a, b in zip(BANDS[:-1], BANDS[1:])) + """,
+TIMESTAMP '2024-01-01 00:00:00' AS updated_at
+FROM f WHERE class IS NOT NULL""")

@@ -63,3 +63,12 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def ensure_parallelism(df, minimum: int | None = None):
+    """Spread a scan that plans fewer partitions than the cluster has cores
+    (one small file, one row group) over ``defaultParallelism`` tasks. On a
+    large table this is a no-op: a 100 TB scan plans thousands of splits.
+    Filters and column pruning still reach the scan below the repartition."""
+    want = minimum or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

@@ -49,7 +49,8 @@ OBSERVATIONS_SQL = "SELECT " + ",\n       ".join(OBSERVATION_COLUMNS) + "\nFROM
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    from orrery.session import ensure_parallelism
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
