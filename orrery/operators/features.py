@@ -7,8 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orrery.functions.columns import (DEFAULT_BANDS, DEFAULT_CLASS_MAP,
-                                      adjacent_differences, default_encode, map_encode)
+from orrery.functions.columns import DEFAULT_BANDS, DEFAULT_CLASS_MAP, default_encode, map_encode
 
 # Identifier/positional columns the notebook drops before modelling.
 ID_COLUMNS = ["obj_ID", "alpha", "delta", "run_ID", "rerun_ID", "cam_col", "field_ID", "fiber_ID"]
@@ -18,10 +17,11 @@ MAX_CLASSES = 100_000
 
 def color_indices(df: DataFrame, bands: Sequence[str] = DEFAULT_BANDS,
                   suffix: str = "") -> DataFrame:
-    """Append adjacent-band differences (u_g, g_r, ...) only if every band exists."""
+    """Add (or recompute) adjacent-band differences u_g, g_r, ... when every band exists."""
     if not all(b in df.columns for b in bands):
         return df
-    return df.select("*", *adjacent_differences(bands, suffix=suffix))
+    return df.withColumns({f"{a}_{b}{suffix}": F.col(a) - F.col(b)
+                           for a, b in zip(bands[:-1], bands[1:])})
 
 
 def feature_select(df: DataFrame, drop: Sequence[str] = ID_COLUMNS) -> DataFrame:
