@@ -47,6 +47,18 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             k_hi = min(k_lo + 1, n - 1) if pos > k_lo else k_lo
             items.append([c, p, k_lo, k_hi, pos - k_lo, None, None, 0, n])
 
+    # Small columns: Spark's exact ``percentile`` (value->count map, map-side
+    # combined) is bounded by the non-NULL count just measured, and uses the
+    # same p * (n - 1) linear interpolation. One pass for all columns.
+    small = [c for c in cols if 0 < counts[c] <= max_exact]
+    out_small: dict = {}
+    if small:
+        row = df.agg(*[F.percentile(_val(c), probs).alias(f"p{j}") for j, c in enumerate(small)]).first()
+        for j, c in enumerate(small):
+            for k, p in enumerate(probs):
+                out_small[(c, p)] = row[f"p{j}"][k]
+        items = [it for it in items if it[0] not in set(small)]
+
     margin = 2.0 / accuracy
     for _ in range(8):
         active = [it for it in items if it[2] is not None and it[8] > max_exact]
@@ -78,7 +90,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
     # exact pick inside each bracket: cumulative counts over distinct values
     live = [(a, it) for a, it in enumerate(items) if it[2] is not None]
-    out = {(it[0], it[1]): None for it in items}
+    out = {(c, p): None for c in cols for p in probs}
+    out.update(out_small)
     if not live:
         return out
     structs = [F.struct(F.lit(a).alias("item"), _in_bracket(it[0], it[5], it[6]).alias("v"))

@@ -422,3 +422,22 @@ def q_stream_incremental(spark, sf):
 
 
 QUERIES["stream_incremental"] = q_stream_incremental
+
+
+def q_scan_typed(spark, sf):
+    """Catalog rows round-tripped through CSV and read back with an explicit
+    schema (corrupt-record quarantine on)."""
+    import uuid
+
+    from orrery.session import ensure_checkpoint_dir
+    from orrery.sources.scan import read_csv_typed, write_csv
+    path = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex[:8]}"
+    src = observations(spark, sf)
+    write_csv(src, path)
+    good, bad = read_csv_typed(spark, path, src.schema)
+    if bad.limit(1).collect():
+        raise RuntimeError("rows failed to parse")
+    return good
+
+
+QUERIES["scan_typed"] = q_scan_typed

@@ -418,3 +418,5 @@ SELECT obj_id, true AS is_processed,
 """ + ",\n".join(f"{a} - {b} AS {a}_{b}_color" for a, b in zip(BANDS[:-1], BANDS[1:])) + """,
 TIMESTAMP '2024-01-01 00:00:00' AS updated_at
 FROM f WHERE class IS NOT NULL""")
+
+SQL["scan_typed"] = with_(OBS, "SELECT * FROM observations")

@@ -71,4 +71,8 @@ def ensure_parallelism(df, minimum: int | None = None):
     large table this is a no-op: a 100 TB scan plans thousands of splits.
     Filters and column pruning still reach the scan below the repartition."""
     want = minimum or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    # hash on every column: deterministic under retries without the sort that a
+    # round-robin repartition needs
+    return df.repartition(want, *[df[c] for c in df.columns])
