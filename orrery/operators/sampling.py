@@ -24,17 +24,22 @@ BUCKET_HEX = 4                      # 16-bit buckets
 N_BUCKETS = 1 << (4 * BUCKET_HEX)
 
 
-def select_first_per_group(df: DataFrame, group: str, quotas: DataFrame,
+def select_first_per_group(df: DataFrame, group: str, quotas,
                            key_cols: Sequence[str], seed: int | str,
                            flag: str = "_selected") -> DataFrame:
     """Flag the first ``quota`` rows of each group in md5(key:seed) order
     (ties, which need an md5 collision, fall back to the key).
 
-    ``quotas``: (group, quota). Groups missing from it get quota 0."""
+    ``quotas``: a DataFrame (group, quota) - groups missing from it get quota
+    0 - or a function from the per-group counts (group, n) to such a
+    DataFrame, which then costs no extra scan of ``df``."""
     h = key_hash(key_cols, seed)
     hd = df.withColumns({"_h": h, "_b": hex_prefix_int(h, BUCKET_HEX).cast("int")})
     w = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    per_bucket = (hd.groupBy(group, "_b").agg(F.count("*").alias("_cnt"))
+    bucket_counts = hd.groupBy(group, "_b").agg(F.count("*").alias("_cnt"))
+    if callable(quotas):
+        quotas = quotas(bucket_counts.groupBy(group).agg(F.sum("_cnt").alias("n")))
+    per_bucket = (bucket_counts
                     .withColumn("_cum", F.sum("_cnt").over(w))
                     .join(quotas.select(F.col(group), F.col("quota").alias("_q")), group, "left")
                     .withColumn("_q", F.coalesce("_q", F.lit(0))))
@@ -58,7 +63,11 @@ def select_first_per_group(df: DataFrame, group: str, quotas: DataFrame,
 def stratified_allocation(df: DataFrame, target: str, test_size: float) -> DataFrame:
     """(target, n, quota): n_test = ceil(N * f); per class floor(n_test*n_c/N),
     the leftover units go to the largest remainders (ties: class value)."""
-    counts = df.groupBy(target).agg(F.count("*").alias("n"))
+    return allocation_from_counts(df.groupBy(target).agg(F.count("*").alias("n")), target, test_size)
+
+
+def allocation_from_counts(counts: DataFrame, target: str, test_size: float) -> DataFrame:
+    """The allocation on a (target, n) table of class counts (k rows)."""
     tot = Window.partitionBy()
     alloc = (counts.withColumn("total", F.sum("n").over(tot))
                    .withColumn("n_test", F.ceil(F.col("total") * F.lit(float(test_size))).cast("long"))
@@ -75,8 +84,9 @@ def stratified_split(df: DataFrame, target: str = "class", key_cols: Sequence[st
                      split_col: str = "data_split") -> DataFrame:
     """Exact stratified TEST/TRAIN assignment (per-class counts as the
     largest-remainder allocation; membership by md5 order inside a class)."""
-    quotas = stratified_allocation(df, target, test_size)
-    flagged = select_first_per_group(df, target, quotas, list(key_cols), seed)
+    flagged = select_first_per_group(
+        df, target, lambda counts: allocation_from_counts(counts, target, test_size),
+        list(key_cols), seed)
     return (flagged.withColumn(split_col, F.when(F.col("_selected"), "TEST").otherwise("TRAIN"))
                    .drop("_selected"))
 

@@ -59,10 +59,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df, name: str = "stage"):
+    """Materialise ``df`` once as parquet under the shared checkpoint folder
+    and continue from the written table.
+
+    A reliable ``checkpoint()`` of an unpersisted plan computes it twice (the
+    action, then the checkpoint write); a parquet write computes it once,
+    stores it columnar and compressed, and survives executor loss. Never a
+    machine-local folder, never ``localCheckpoint``."""
+    import uuid
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def ensure_parallelism(df, minimum: int | None = None):

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -31,9 +31,7 @@ def run_incremental(spark: SparkSession, source: str, schema: StructType | str,
         new, n_read = process_incremental(rows, bands, target, flag, now=now)
         if n_read == 0:
             return
-        obs = Observation(f"epoch_{epoch_id}")
-        (new.where(F.col(flag)).observe(obs, F.count(F.lit(1)).alias("n"))
-            .write.mode("overwrite").parquet(f"{sink.rstrip('/')}/epoch={epoch_id}"))
+        new.where(F.col(flag)).write.mode("overwrite").parquet(f"{sink.rstrip('/')}/epoch={epoch_id}")
         totals["rows"] += n_read
 
     q = (spark.readStream.schema(schema).parquet(source)
