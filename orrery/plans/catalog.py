@@ -441,3 +441,27 @@ def q_scan_typed(spark, sf):
 
 
 QUERIES["scan_typed"] = q_scan_typed
+
+
+# -- outlier removal on the catalog itself (the reference's use of LOF) -----
+CATALOG_LOF_FEATURES = ["alpha", "delta", "u", "g", "r", "i", "z", "rerun_id", "redshift",
+                        "plate", "fiber_id"]
+
+
+def catalog_points(spark, sf) -> DataFrame:
+    """Cleaned catalog rows as vectors of every numeric column except the
+    target, unscaled (the reference fits LOF on the raw numeric columns)."""
+    df = prepare.cleaned_observations(spark, sf)
+    return df.select(KEY, TARGET, F.array(*[F.col(c).cast("double") for c in CATALOG_LOF_FEATURES])
+                     .alias("vec"))
+
+
+def q_lof_catalog(spark, sf):
+    """Rows kept after LOF outlier removal (k=20, contamination 0.1). No SQL
+    oracle: DuckDB would need all n^2 pairs; tests check the same function
+    against a NumPy brute force on a small fixture."""
+    from orrery.operators.neighbors import lof_filter
+    return lof_filter(catalog_points(spark, sf), 20, KEY, "vec", contamination=0.1).select(KEY, TARGET)
+
+
+QUERIES["lof_catalog"] = q_lof_catalog

@@ -54,3 +54,21 @@ def test_smote_balances_and_stays_on_segments(spark):
         assert lab[r.source_id] == lab[r.neighbor_id] == r.label
         t = np.dot(x - a, b - a) / np.dot(b - a, b - a)
         assert -1e-12 <= t < 1 and np.allclose(a + t * (b - a), x)
+
+
+def test_catalog_lof_matches_brute_force(spark):
+    """The registered catalog LOF (raw numeric columns, k=20) against NumPy on
+    the sf0.001 catalog (keys that repeat at that scale are left out)."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import Window
+    from orrery.plans.catalog import catalog_points
+    from tests.conftest import SF_SMALL
+    pts = catalog_points(spark, SF_SMALL)
+    pts = (pts.withColumn("_n", F.count("*").over(Window.partitionBy("obj_id")))
+              .where("_n = 1").drop("_n").limit(1500))
+    pdf = pts.toPandas()
+    got = lof_scores(spark.createDataFrame(pdf), 20, "obj_id", "vec").toPandas().set_index("obj_id")
+    X = np.stack(pdf.vec.values)
+    ids = pdf.obj_id.values
+    exp, _ = _brute_lof(X, ids, 20)
+    np.testing.assert_allclose(got.loc[ids, "lof_score"].values, exp, rtol=1e-9)
