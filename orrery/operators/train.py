@@ -123,7 +123,7 @@ def train_kernel_svm(train: DataFrame, features: Sequence[str], label: str = "la
         1.0 / len(features) if gamma == "auto" else float(gamma))
     svc = LinearSVC(featuresCol="rff", labelCol=label, regParam=1.0 / (C * max(n, 1)),
                     maxIter=max_iter, tol=tol, standardization=False, rawPredictionCol="margins",
-                    maxBlockSizeInMB=16.0)
+                    maxBlockSizeInMB=8.0)
     stages = [standard_scaler_stage(train, features), _assembler(features, True),
               RandomFourierFeatures(inputCol="features", outputCol="rff", dim=dim, gamma=g,
                                     numInputs=len(features), seed=seed),
