@@ -54,7 +54,10 @@ def select_first_per_group(df: DataFrame, group: str, quotas,
     cutoff = F.coalesce(F.col("_cut"), F.lit(N_BUCKETS))
     outside = (joined.where(F.col("_b") != cutoff)
                      .withColumn(flag, F.col("_b") < cutoff))
-    rank_w = Window.partitionBy(group, "_b").orderBy("_h", *key_cols)
+    # repeated keys: a hash of the whole row makes the order (and so the result
+    # under task retries) deterministic
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    rank_w = Window.partitionBy(group, "_b").orderBy("_h", *key_cols, row_hash)
     inside = (joined.where(F.col("_b") == cutoff)
                     .withColumn(flag, F.row_number().over(rank_w) <= F.col("_need")))
     return outside.unionByName(inside).drop("_h", "_b", "_cut", "_need")
