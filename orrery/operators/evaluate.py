@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orrery.operators.prefix import running_sums
+from orrery.session import cut_lineage
 
 MAX_CLASSES = 10_000
 
@@ -56,7 +57,9 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
     'weighted avg' rows (zero division -> 0, as sklearn's default warns and
     returns 0)."""
     labels = list(labels) if labels is not None else label_set(df, label, pred)
-    cm = confusion_matrix(df, label, pred, labels)
+    # k x k rows, written once: every statistic below reads the small table
+    # instead of re-deriving it from the scored input
+    cm = cut_lineage(confusion_matrix(df, label, pred, labels), "confusion")
     per_true = cm.groupBy(F.col("true_label").alias("lab")).agg(
         F.sum("n").alias("support"),
         F.sum(F.when(F.col("true_label") == F.col("pred_label"), F.col("n")).otherwise(0)).alias("tp"))
