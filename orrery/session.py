@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
+import zipfile
+from contextlib import contextmanager, suppress
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_SHIPPED = "spark.orrery.shipped"
+_STAGES: set[str] = set()
 
 
 def get_session(master: str | None = None, app: str = "orrery",
@@ -37,6 +43,12 @@ def get_session(master: str | None = None, app: str = "orrery",
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """One JVM without separate executors (``local-cluster`` is a cluster)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory named by the cluster.
 
@@ -51,7 +63,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(path)
         return path
-    if not sc.master.startswith("local"):
+    if not is_local(spark):
         raise RuntimeError(f"{CHECKPOINT_KEY} must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="orrery-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set(CHECKPOINT_KEY, path)
@@ -59,6 +71,49 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def stage_path(spark: SparkSession, name: str = "stage") -> str:
+    """A new folder name under the shared checkpoint folder. It is removed by
+    ``drop_stage``, or at the end of the application at the latest."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _STAGES:
+        atexit.register(_drop_all, spark)
+    _STAGES.add(path)
+    return path
+
+
+def drop_stage(spark: SparkSession, *paths: str) -> None:
+    """Delete stage folders whose readers are done."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+        _STAGES.discard(path)
+
+
+def _drop_all(spark: SparkSession) -> None:
+    with suppress(Exception):  # the JVM may be gone already; nothing is left to do then
+        drop_stage(spark, *list(_STAGES))
+
+
+@contextmanager
+def stages(spark: SparkSession):
+    """Scope for intermediate tables: ``keep(df, name)`` writes one under the
+    shared folder and returns it reread; every table written in the scope is
+    deleted when the scope ends, so a scope must write what it returns
+    elsewhere (``cut_lineage``) or collect it first."""
+    paths: list[str] = []
+
+    def keep(df: DataFrame, name: str = "stage") -> DataFrame:
+        paths.append(stage_path(spark, name))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield keep
+    finally:
+        drop_stage(spark, *paths)
+
+
 def cut_lineage(df, name: str = "stage"):
     """Materialise ``df`` once as parquet under the shared checkpoint folder
     and continue from the written table.
@@ -67,11 +122,28 @@ def cut_lineage(df, name: str = "stage"):
     action, then the checkpoint write); a parquet write computes it once,
     stores it columnar and compressed, and survives executor loss. Never a
     machine-local folder, never ``localCheckpoint``."""
-    import uuid
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = stage_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that the
+    functions that run in Python workers can be imported there. Nothing to do
+    for a local master; harmless beside ``--py-files``."""
+    if is_local(spark) or spark.conf.get(_SHIPPED, None):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="orrery-ship-"), "orrery_ship.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(top):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("orrery", os.path.relpath(full, top)))
+    spark.sparkContext.addPyFile(path)
+    spark.conf.set(_SHIPPED, "true")
 
 
 def ensure_parallelism(df, minimum: int | None = None):
