@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orrery.llm import simhash
+from orrery.llm import bpe, simhash, tokenfile
 from orrery.llm.common import table
+from orrery.session import stage_path
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +18,28 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, max_bits=2)
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text encoded and decoded again; digests of both."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = bpe.encode(docs, path).select("doc_id", "ids")
+    return bpe.decode(ids, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op5_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids in Arrow files, and their checksums read back."""
+    index = tokenfile.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                            stage_path(spark, "tokens"), end_id=2)
+    return tokenfile.read_crc(index)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op4_bpe": op4_bpe,
+    "op5_tokenfile": op5_tokenfile,
 }
 
 SQL: dict[str, str] = {}
