@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import bpe, simhash, tokenfile
+from orrery.llm import bpe, chat, simhash, tokenfile, warc
 from orrery.llm.common import table
-from orrery.session import stage_path
+from orrery.session import cut_lineage, stage_path
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,15 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, max_bits=2)
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one hostile one, formatted, written and read back."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hostile = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", hostile), (-7, 1, "assistant", hostile)], turns.schema)
+    formatted = cut_lineage(chat.format_turns(turns.unionByName(extra)), "chat")
+    return chat.digests(formatted)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text encoded and decoded again; digests of both."""
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -36,10 +45,45 @@ def op5_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_crc(index)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records in seekable bundles, read back."""
+    index = warc.write(table(spark, sf_dir, "pages"), stage_path(spark, "warc"))
+    return warc.read(index, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op3_chat": op3_chat,
     "op4_bpe": op4_bpe,
     "op5_tokenfile": op5_tokenfile,
+    "op8_warc": op8_warc,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_chat": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text))
+                AS turns_sha256,
+            CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+            sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, ''
+                ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+            CAST(sum(14 + length(role) + length(regexp_replace(role, '[^\\#:<]', '', 'g'))
+                + length(text) + length(regexp_replace(text, '[^\\#:<]', '', 'g'))) AS BIGINT) AS formatted_chars
+        FROM t GROUP BY conv_id""",
+    "op8_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS body, CAST(unhex(sha1(coalesce(html, ''))) AS BIT)::VARCHAR AS bits,
+                min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+        SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+            array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + list_sum(list_transform(range(5), k -> CAST(substr(bits, 5 * i + k + 1, 1) AS INT)
+                    * CAST(2 ^ (4 - k) AS INT)))::INT, 1)), '') AS payload_digest,
+            CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM p""",
+}

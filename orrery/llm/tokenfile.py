@@ -120,7 +120,7 @@ class ShardWriter:
         self.length, self.dtype, self.total = length, dtype, 0
         self.schema = pa.schema([("ids", pa.list_(pa.field("item", kind, False), length)),
                                  ("mask", pa.list_(pa.field("item", pa.bool_(), False), length))])
-        self.out = fs.open_output_stream(path)
+        self.out = fs.open_output_stream(path, compression=None)
         self.writer = pa.ipc.new_file(self.out, self.schema)
         self.kept, self.n = [], 0
 
@@ -179,9 +179,6 @@ class ShardReader:
             start, n = start + len(flat), n - len(flat)
 
 
-INDEX = "start long, n_tokens long, shard string, at long, part int"
-
-
 def write(docs: DataFrame, path: str, folder: str, end_id: int, length: int = 2048, shards: int | None = None,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode each whole text with the tokenizer file at ``path``, append
@@ -249,7 +246,10 @@ def read_crc(index: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``index`` with ids_crc32, the crc32 of each document's ids, read back
     from its shard, as little-endian unsigned 32-bit integers."""
     ship_package(index.sparkSession)
-    src = index.select(id_col, "start", "n_tokens", "shard", "at")
+    # by shard, over a fixed number of tasks: an index row is small, what it names is not
+    n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    src = (index.select(id_col, "start", "n_tokens", "shard", "at").repartition(n, "shard")
+           .sortWithinPartitions("shard", "at"))
     schema = T.StructType([*src.schema.fields, T.StructField("ids_crc32", T.LongType())])
 
     def run(it):
