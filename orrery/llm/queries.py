@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import bpe, chat, simhash, tokenfile, warc
+from orrery.llm import bpe, chat, langid, simhash, tokenfile, warc
 from orrery.llm.common import table
 from orrery.session import cut_lineage, stage_path
 
@@ -45,6 +45,16 @@ def op5_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_crc(index)
 
 
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; a quarter of the rows is held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn(
+        "held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2)
+    # a null doc_id has no remainder and is no training row
+    model = langid.train(docs.where("NOT held_out"))
+    return langid.predict(docs.select("doc_id", "text", F.coalesce("held_out", F.lit(False)).alias("held_out")),
+                          model).drop("text", "mixture")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as WARC records in seekable bundles, read back."""
     index = warc.write(table(spark, sf_dir, "pages"), stage_path(spark, "warc"))
@@ -57,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat": op3_chat,
     "op4_bpe": op4_bpe,
     "op5_tokenfile": op5_tokenfile,
+    "op7_langid": op7_langid,
     "op8_warc": op8_warc,
 }
 
@@ -80,8 +91,8 @@ SQL: dict[str, str] = {
             SELECT page_id, coalesce(html, '') AS body, CAST(unhex(sha1(coalesce(html, ''))) AS BIT)::VARCHAR AS bits,
                 min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
         SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
-            array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-                1 + list_sum(list_transform(range(5), k -> CAST(substr(bits, 5 * i + k + 1, 1) AS INT)
+            array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + list_sum(list_transform(range(5), lambda k: CAST(substr(bits, 5 * i + k + 1, 1) AS INT)
                     * CAST(2 ^ (4 - k) AS INT)))::INT, 1)), '') AS payload_digest,
             CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
             CASE WHEN page_id <> first THEN first END AS refers_to
