@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import bpe, chat, langid, simhash, tokenfile, warc
+from orrery.llm import bpe, chat, decontaminate, langid, simhash, tokenfile, warc
 from orrery.llm.common import table
 from orrery.session import cut_lineage, stage_path
 
@@ -45,6 +45,15 @@ def op5_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_crc(index)
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of 10 words in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = decontaminate.inspect(docs, table(spark, sf_dir, "benchmark"), window=10)
+    return got.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; a quarter of the rows is held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn(
@@ -67,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat": op3_chat,
     "op4_bpe": op4_bpe,
     "op5_tokenfile": op5_tokenfile,
+    "op6_decontaminate": op6_decontaminate,
     "op7_langid": op7_langid,
     "op8_warc": op8_warc,
 }
@@ -86,6 +96,28 @@ SQL: dict[str, str] = {
             CAST(sum(14 + length(role) + length(regexp_replace(role, '[^\\#:<]', '', 'g'))
                 + length(text) + length(regexp_replace(text, '[^\\#:<]', '', 'g'))) AS BIGINT) AS formatted_chars
         FROM t GROUP BY conv_id""",
+    "op6_decontaminate": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (
+            SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        win AS (
+            SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g
+            FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT n FROM win),
+        occ AS (
+            SELECT doc_id, i, s.n, item_id
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d) p, sizes s, win
+            WHERE i + s.n - 1 <= len(w) AND win.n = s.n AND win.g = array_to_string(w[i:i + s.n - 1], ' ')),
+        hits AS (SELECT doc_id, count(DISTINCT k) AS n_hit
+                 FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM occ) GROUP BY doc_id),
+        its AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS names
+                FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM occ) GROUP BY doc_id)
+        SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN its USING (doc_id)""",
     "op8_warc": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS body, CAST(unhex(sha1(coalesce(html, ''))) AS BIT)::VARCHAR AS bits,

@@ -71,7 +71,9 @@ def links(fps: DataFrame, max_bits: int = 2, crowd: int = 32) -> DataFrame:
     closure is that of all pairs at ``max_bits`` (0 to 2) or fewer bits."""
     if not 0 <= max_bits <= 2:
         raise ValueError("two segments with one wildcard find pairs at 0 to 2 bits")
-    one = fps.select("fp").distinct()
+    # each row becomes 64: dealt out anew, so that no few tasks make them all
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    one = fps.select("fp").distinct().repartition(tasks, "fp")
     # bit j as a wildcard; the segment that holds bit j is kept, the other is dropped
     half = F.when(F.col("j") < 32, F.lit(0xFFFFFFFF).cast("long")).otherwise(
         F.expr("shiftleft(4294967295L, 32)"))
