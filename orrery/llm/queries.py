@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import bpe, chat, decontaminate, langid, simhash, tokenfile, warc
+from orrery.llm import bpe, chat, decontaminate, langid, simhash, suffixdedup, tokenfile, warc
 from orrery.llm.common import table
 from orrery.session import cut_lineage, stage_path
 
@@ -71,6 +71,13 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_suffixdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of repeated 200-byte strings."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = suffixdedup.remove_repeats(docs, length=200)
+    return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_chat": op3_chat,
@@ -79,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontaminate": op6_decontaminate,
     "op7_langid": op7_langid,
     "op8_warc": op8_warc,
+    "op9_suffixdedup": op9_suffixdedup,
 }
 
 SQL: dict[str, str] = {
