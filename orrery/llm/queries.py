@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orrery.llm import bpe, chat, decontaminate, langid, simhash, suffixdedup, tokenfile, warc
+from orrery.llm import ann, bpe, chat, decontaminate, langid, simhash, suffixdedup, tokenfile, warc
 from orrery.llm.common import table
 from orrery.session import cut_lineage, stage_path
 
@@ -18,6 +18,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, max_bits=2)
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every 20th vector."""
+    return ann.search(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one hostile one, formatted, written and read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -80,6 +85,7 @@ def op9_suffixdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_ann": op2_ann,
     "op3_chat": op3_chat,
     "op4_bpe": op4_bpe,
     "op5_tokenfile": op5_tokenfile,
