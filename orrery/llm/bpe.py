@@ -50,6 +50,22 @@ def _pattern(text: str) -> regex.Pattern:
                          .replace(r"\S", r"\P{White_Space}"))
 
 
+def _ranges(name: str) -> str:
+    """The characters up to U+FFFF of a property, as a set for ``re``."""
+    every = "".join(map(chr, range(0x10000)))
+    return "".join(f"\\u{m.start():04x}-\\u{m.end() - 1:04x}" for m in regex.finditer(rf"\p{{{name}}}+", every))
+
+
+def narrow_pattern(text: str) -> re.Pattern:
+    """``_pattern`` for texts without characters beyond U+FFFF: the same pieces
+    from the faster module, which has no property classes."""
+    letter, number, blank = _ranges("L"), _ranges("N"), _ranges("White_Space")
+    text = text.replace(r"[^\s\p{L}\p{N}]", f"[^{blank}{letter}{number}]")
+    for name, chars in ((r"\p{L}", letter), (r"\p{N}", number), (r"\s", blank)):
+        text = text.replace(f"[{name}]", f"[{chars}]").replace(name, f"[{chars}]")
+    return re.compile(text.replace(r"\S", f"[^{blank}]"))
+
+
 class Bounded(dict):
     """A table that starts anew when it is full."""
 

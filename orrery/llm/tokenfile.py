@@ -15,8 +15,10 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +33,8 @@ from orrery.llm.common import batches, make_dir, open_fs, open_mapped
 from orrery.session import ship_package, stage_path
 
 ROWS = 256  # sequences in a record batch
+BEYOND = re.compile("[\U00010000-\U0010ffff]").search
+PIECES = 1_000_000  # pieces whose ids a Python worker keeps, at about 200 bytes
 
 
 class LibraryEncoder:
@@ -38,8 +42,8 @@ class LibraryEncoder:
 
     Where the file has the plain byte-level pre-tokenizer and no normalizer,
     pieces are independent of each other: the library then encodes each
-    distinct piece once and a bounded table keeps its ids. For any other file
-    it encodes the whole text."""
+    distinct piece of a batch once and a bounded table keeps its ids. For any
+    other file it encodes the whole text."""
 
     def __init__(self, source: bytes):
         spec = json.loads(source)
@@ -54,51 +58,35 @@ class LibraryEncoder:
         self.size = self.library.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype(np.uint16 if self.size <= 1 << 16 else np.uint32)
         self.added = [a["content"] for a in spec["added_tokens"]]
-        self.cut, self.pattern = bpe.re_cut, bpe._pattern(bpe.BYTE_LEVEL_PATTERN)
-        self.chunks, self.pieces = bpe.Bounded(), bpe.Bounded()
+        self.pattern = bpe._pattern(bpe.BYTE_LEVEL_PATTERN)
+        self.narrow = bpe.narrow_pattern(bpe.BYTE_LEVEL_PATTERN)
+        self.pieces: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        got = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in got]
+        kind = "H" if self.dtype.itemsize == 2 else "I"
+        return [array(kind, e.ids).tobytes()
+                for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as the bytes of an array of ``dtype``."""
-        if not self.by_piece:
-            return self._ids(texts)
-        out: list[list] = []
-        missing: dict[str, bytes | None] = {}
-        get = self.chunks.get
-        for t in texts:
-            parts = self.cut.split(t)
-            parts[1:] = [" " + p for p in parts[1:]]
+        # a text with the string of an added token goes to the library whole
+        plain = [self.by_piece and not any(a in t for a in self.added) for t in texts]
+        whole = iter(self._ids([t for t, p in zip(texts, plain) if not p]))
+        if len(self.pieces) > PIECES:
+            self.pieces.clear()
+        split, get = [], self.pieces.get
+        missing: dict[str, None] = {}
+        for t, p in zip(texts, plain):
+            parts = (self.pattern if BEYOND(t) else self.narrow).findall(t) if p else []
             got = list(map(get, parts))
             if None in got:
-                for k, g in enumerate(got):
-                    if g is None:
-                        missing[parts[k]] = None
-                        got[k] = parts[k]
-            out.append(got)
-        self._fill(missing)
-        return [b"".join([missing[g] if type(g) is str else g for g in got]) for got in out]
-
-    def _fill(self, missing: dict[str, bytes | None]) -> None:
-        """Ids of chunks: of their pieces, each through the library once."""
-        split, new = {}, {}
-        for c in missing:
-            # a chunk that may hold an added token goes to the library as it is
-            split[c] = [c] if any(a in c for a in self.added) else self.pattern.findall(c)
-            for p in split[c]:
-                got = self.pieces.get(p)
-                new[p] = got
-        todo = [p for p, got in new.items() if got is None]
-        for p, ids in zip(todo, self._ids(todo)):
-            new[p] = ids
-            if len(p) < 64:
-                self.pieces.put(p, ids)
-        for c, parts in split.items():
-            missing[c] = b"".join([new[p] for p in parts])
-            if len(c) < 64:
-                self.chunks.put(c, missing[c])
+                missing.update((x, None) for x, g in zip(parts, got) if g is None)
+                got = None
+            split.append((parts, got))
+        new = list(missing)
+        self.pieces.update(zip(new, self._ids(new)))
+        return [b"".join(got if got is not None else map(get, parts)) if p else next(whole)
+                for p, (parts, got) in zip(plain, split)]
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
