@@ -30,10 +30,9 @@ from orrery.llm.common import batches
 from orrery.session import ship_package
 
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# a text may be cut at a space that a non-space follows: no byte-level piece reaches over it
-re_cut = re.compile(r" (?=\S)")
+BEYOND = re.compile("[\U00010000-\U0010ffff]").search
 MAX_MODEL_BYTES = 64 << 20
-CACHE_ENTRIES = 600_000  # of words and of chunks in each Python worker, at about 200 bytes
+CACHE_ENTRIES = 800_000  # words whose ids a Python worker keeps, at about 200 bytes
 
 
 def byte_chars() -> list[str]:
@@ -94,7 +93,7 @@ class Bpe:
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")") if self.added else None
         self._build(model)
         self._offsets(model["vocab"], spec["decoder"])
-        self.words, self.chunks, self.pairs, self.whole = Bounded(), Bounded(), Bounded(), {}
+        self.words, self.pairs, self.whole = Bounded(), Bounded(), {}
 
     def _normalizer(self, spec) -> None:
         steps = spec["normalizers"] if spec and spec["type"] == "Sequence" else [spec] if spec else []
@@ -112,9 +111,10 @@ class Bpe:
         if len(parts) == 2:
             if parts[0]["type"] != "Split" or not parts[0]["invert"] or parts[0]["behavior"] != "Removed":
                 raise ValueError("pre-tokenizer")
-            self.pattern, self.keeps_space = _pattern(parts[0]["pattern"]["Regex"]), False
+            pattern = parts[0]["pattern"]["Regex"]
         else:
-            self.pattern, self.keeps_space = _pattern(BYTE_LEVEL_PATTERN), True
+            pattern = BYTE_LEVEL_PATTERN
+        self.pattern, self.narrow = _pattern(pattern), narrow_pattern(pattern)
 
     def _build(self, model) -> None:
         """Symbols are bytes 0-255, and 256-511 for a word's last byte where
@@ -186,14 +186,15 @@ class Bpe:
         return self.whole[t]
 
     def _fits(self, a: int, b: int) -> bool:
-        ok = self.pairs.get((a, b))
+        key = a * len(self.spell) + b
+        ok = self.pairs.get(key)
         if ok is None:
             if self.twice:
                 symbols = [self.base[ord(c)] for c in self.spell[a] + self.spell[b]]
                 ok = self.merged(symbols) == [a, b]
             else:
                 ok = self._alone(a) and self._alone(b) and self._apart(a, b)
-            self.pairs.put((a, b), ok)
+            self.pairs.put(key, ok)
         return ok
 
     def _apart(self, a: int, b: int) -> bool:
@@ -258,37 +259,30 @@ class Bpe:
             self.prefix[t] = got
         return got
 
-    def _plain(self, text: str) -> bytes:
+    def _plain(self, text: str) -> list[bytes]:
         if self.lower:
             # one character at a time, as the library: a final sigma is no exception
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        out = []
-        for piece in self.pattern.findall(text):
-            got = self.words.get(piece)
-            if got is None:
-                got = self.words.put(piece, array("I", self.encode_word(piece.encode())).tobytes())
-            out.append(got)
-        return b"".join(out)
-
-    def _chunk(self, text: str) -> bytes:
-        if self.split_added is None or "<" not in text:
-            return self._plain(text)
-        return b"".join(array("I", [self.added[p]]).tobytes() if p in self.added else self._plain(p)
-                        for p in self.split_added.split(text))
+        parts = (self.pattern if BEYOND(text) else self.narrow).findall(text)
+        out = list(map(self.words.get, parts))
+        if None in out:
+            for k, got in enumerate(out):
+                if got is None:
+                    p = parts[k]
+                    got = self.words.get(p)
+                    if got is None:
+                        got = self.words.put(p, array("I", self.encode_word(p.encode())).tobytes())
+                    out[k] = got
+        return out
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text as uint32."""
-        if self.keeps_space:
-            first, *rest = re_cut.split(text)
-            parts = [first, *(" " + p for p in rest)]
+        if self.split_added is None or not self.split_added.search(text):
+            out = self._plain(text)
         else:
-            parts = text.split(" ")
-        get, out = self.chunks.get, []
-        for p in parts:
-            got = get(p)
-            if got is None:
-                got = self.chunks.put(p, self._chunk(p)) if len(p) < 256 else self._chunk(p)
-            out.append(got)
+            out = []
+            for p in self.split_added.split(text):
+                out += [array("I", [self.added[p]]).tobytes()] if p in self.added else self._plain(p)
         return np.frombuffer(b"".join(out), np.uint32)
 
     # -- decoding

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 import uuid
 import zlib
 from array import array
@@ -33,7 +32,6 @@ from orrery.llm.common import batches, make_dir, open_fs, open_mapped
 from orrery.session import ship_package, stage_path
 
 ROWS = 256  # sequences in a record batch
-BEYOND = re.compile("[\U00010000-\U0010ffff]").search
 PIECES = 1_000_000  # pieces whose ids a Python worker keeps, at about 200 bytes
 
 
@@ -77,7 +75,7 @@ class LibraryEncoder:
         split, get = [], self.pieces.get
         missing: dict[str, None] = {}
         for t, p in zip(texts, plain):
-            parts = (self.pattern if BEYOND(t) else self.narrow).findall(t) if p else []
+            parts = (self.pattern if bpe.BEYOND(t) else self.narrow).findall(t) if p else []
             got = list(map(get, parts))
             if None in got:
                 missing.update((x, None) for x, g in zip(parts, got) if g is None)
