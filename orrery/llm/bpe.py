@@ -376,3 +376,12 @@ def decode(frame: DataFrame, path: str, ids_col: str = "ids", out_col: str = "de
                                                  names=[*b.schema.names, out_col])
 
     return src.mapInArrow(run, schema)
+
+
+def digests(encoded: DataFrame, path: str, ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by one space),
+    decoded_sha256 (of the decoded text in UTF-8), and the ids if asked for."""
+    return decode(encoded.select("doc_id", "ids"), path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), *(["ids"] if ids else []))

@@ -7,6 +7,7 @@ import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs as pafs
@@ -68,6 +69,23 @@ def text_bytes(col: pa.Array) -> list[bytes]:
     return [b"" if v is None else v for v in col.cast(pa.binary()).to_pylist()]
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with as many underscores as make it differ from all taken."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
+def text_of_bytes(col: str):
+    """Column expression: the text of UTF-8 bytes, without the characters of
+    which bytes are missing."""
+    return F.pandas_udf(_utf8, "string")(F.col(col))
+
+
+def _utf8(col: pd.Series) -> pd.Series:
+    return col.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
+
+
 def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     """(node, root) for every node of ``edges(a, b)``: root is the smallest
     node of its connected component. Alternating large-star and small-star

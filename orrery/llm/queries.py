@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from orrery.llm import ann, bpe, chat, decontaminate, langid, simhash, suffixdedup, tokenfile, warc
 from orrery.llm.common import table
 from orrery.session import cut_lineage, stage_path
@@ -36,11 +37,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text encoded and decoded again; digests of both."""
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, path).select("doc_id", "ids")
-    return bpe.decode(ids, path).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.digests(bpe.encode(docs, path), path)
 
 
 def op5_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_langid": op7_langid,
     "op8_warc": op8_warc,
     "op9_suffixdedup": op9_suffixdedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import batches, components, text_bytes
+from orrery.llm.common import batches, components, free_name, text_bytes
 from orrery.session import cut_lineage, drop_stage, ship_package, stage_path
 
 BITS = 64
@@ -53,15 +53,16 @@ def fingerprint(text: bytes, size: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp) with the fingerprint as a signed long. Null text: fp zero."""
+    """(id, fp, th): the fingerprint as a signed long and a hash of the text.
+    Null text: fp zero."""
     ship_package(docs.sparkSession)
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = src.select("id").schema.add("fp", "long")
+    src = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    schema = src.select("id", "th").schema.add("fp", "long")
 
     def run(it):
         for b in batches(it, 8 << 20, "text"):
-            fps = np.array([fingerprint(t, size) for t in text_bytes(b.column(1))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
+            fps = np.array([fingerprint(t, size) for t in text_bytes(b.column(2))], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(fps.view(np.int64))], names=["id", "th", "fp"])
 
     return src.mapInArrow(run, schema)
 
@@ -101,6 +102,19 @@ def links(fps: DataFrame, max_bits: int = 2, crowd: int = 32) -> DataFrame:
     return pairs.unionByName(stars).distinct()
 
 
+def groups(docs: DataFrame, size: int = 3, max_bits: int = 2, crowd: int = 32, id_col: str = "doc_id",
+           text_col: str = "text") -> DataFrame:
+    """(id, th, fp, root, component_id) for every row of ``docs``; ``root``
+    names the row's group."""
+    rows = cut_lineage(fingerprints(docs, size, id_col, text_col), "simhash-rows")
+    least = cut_lineage(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-least")
+    roots = components(links(least, max_bits, crowd))
+    linked = (least.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+              .withColumn("root", F.coalesce("root", "fp")))
+    lowest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rows.join(linked.join(lowest, "root").select("fp", "root", "component_id"), "fp")
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2, crowd: int = 32,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, fingerprint (16 hex digits),
@@ -110,15 +124,21 @@ def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2, crowd: in
     any other. A null id keeps its row and is the component's id only where
     the component has no other. Repeated ids keep their rows. An empty table
     gives an empty result; other columns are not read."""
-    spark = docs.sparkSession
-    rows = cut_lineage(fingerprints(docs, size, id_col, text_col), "simhash-rows")
-    least = rows.groupBy("fp").agg(F.min("id").alias("least"))
-    least = cut_lineage(least, "simhash-least")
-    roots = components(links(least, max_bits, crowd))
-    group = F.coalesce("root", "fp")
-    linked = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", group)
-    lowest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = linked.join(lowest, "root").select("fp", "component_id")
-    return (rows.join(of_fp, "fp")
-            .select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), BITS // 4, "0")).alias("fingerprint"),
-                    "component_id"))
+    return groups(docs, size, max_bits, crowd, id_col, text_col).select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), BITS // 4, "0")).alias("fingerprint"),
+        "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 2, crowd: int = 32,
+                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: that of the
+    smallest id (a null id last; of rows with that id the one whose text has
+    the smallest hash; of equal rows any one). Columns and nulls as before."""
+    found = groups(docs, size, max_bits, crowd, id_col, text_col)
+    stay = (found.where(F.col("id").eqNullSafe(F.col("component_id")))
+            .groupBy("root").agg(F.min(F.struct("th", "id")).alias("stay"))
+            .select(F.col("stay.id").alias("stay_id"), F.col("stay.th").alias("stay_th")))
+    th = free_name(docs.columns, "th")
+    src = docs.withColumn(th, F.xxhash64(text_col))
+    match = src[id_col].eqNullSafe(stay["stay_id"]) & (src[th] == stay["stay_th"])
+    return src.join(stay, match, "left_semi").dropDuplicates([id_col, th]).drop(th)

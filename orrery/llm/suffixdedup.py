@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orrery.llm import bytehash
-from orrery.llm.common import batches, release, text_bytes
+from orrery.llm.common import batches, free_name, release, text_bytes
 from orrery.session import drop_stage, ship_package, stage_path
 
 GRAM = 40
@@ -362,7 +362,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, crowd: int = 2000, id_col
     src = docs.drop(*ADDED.names)
     columns = src.columns
     # names that no column has, whatever the caller's are
-    k1, k2, found = (_free(columns, x) for x in ("k1", "k2", "found"))
+    k1, k2, found = (free_name(columns, x) for x in ("k1", "k2", "found"))
     lists = lists.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("found").alias(found))
     src = src.withColumns({k1: F.xxhash64(id_col, text_col), k2: F.hash(id_col, text_col)})
     src = src.join(lists, [k1, k2], "left").select(*columns, found)
@@ -396,8 +396,3 @@ def remove_repeats(docs: DataFrame, length: int = 200, crowd: int = 2000, id_col
 
     return src.mapInArrow(run, schema)
 
-
-def _free(taken: list[str], name: str) -> str:
-    while name.lower() in {c.lower() for c in taken}:
-        name += "_"
-    return name
