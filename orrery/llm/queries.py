@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orrery.llm import ann, bpe, chat, decontaminate, langid, simhash, suffixdedup, tokenfile, warc
+from orrery.llm import ann, bpe, chat, decontaminate, langid, lm, simhash, suffixdedup, tokenfile, warc
 from orrery.llm.common import table
 from orrery.session import cut_lineage, stage_path
 
@@ -80,6 +80,15 @@ def op9_suffixdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document; a fifth of the rows is held out of training."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn(
+        "held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False)))
+    model = lm.train(docs.where("NOT held_out"), stage_path(spark, "trie"))
+    return (lm.score(docs, model).drop("text")
+            .withColumn("train_tokens", F.lit(model.total).cast("long")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_ann": op2_ann,
@@ -90,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_langid": op7_langid,
     "op8_warc": op8_warc,
     "op9_suffixdedup": op9_suffixdedup,
+    "op10_lm": op10_lm,
     "pipeline": corpus_pipeline.run,
 }
 
