@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from orrery.operators.prefix import running_sums
 from orrery.session import cut_lineage
 
-MAX_CLASSES = 10_000
+MAX_CLASSES = 1_000  # the k x k cells are made in one task
 
 
 def accuracy(df: DataFrame, label: str = "label", pred: str = "prediction",
@@ -35,19 +35,24 @@ def label_set(df: DataFrame, label: str, pred: str, max_classes: int = MAX_CLASS
 
 
 def _grid(spark: SparkSession, labels: Sequence) -> DataFrame:
-    arr = F.array(*[F.lit(v) for v in labels])
-    return (spark.range(1).select(F.explode(arr).alias("true_label"))
-                 .select("true_label", F.explode(arr).alias("pred_label")))
+    each = F.array(*[F.lit(v) for v in labels])
+    return (spark.range(1).select(F.explode(each).alias("true_label"))
+                 .select("true_label", F.explode(each).alias("pred_label")))
 
 
 def confusion_matrix(df: DataFrame, label: str = "label", pred: str = "prediction",
                      labels: Sequence | None = None) -> DataFrame:
-    """(true_label, pred_label, n) for every k x k cell, zeros included."""
+    """(true_label, pred_label, n) for every k x k cell, zeros included. Rows
+    whose label or prediction is NULL or none of ``labels`` are counted too:
+    under NULL, in rows that exist only where there are such."""
     labels = list(labels) if labels is not None else label_set(df, label, pred)
-    counts = (df.groupBy(F.col(label).alias("true_label"), F.col(pred).alias("pred_label"))
+    known = lambda c: F.when(F.col(c).isin(*labels), F.col(c))
+    counts = (df.groupBy(known(label).alias("true_label"), known(pred).alias("pred_label"))
                 .agg(F.count("*").alias("n")))
-    return (_grid(df.sparkSession, labels).join(counts, ["true_label", "pred_label"], "left")
+    inside = (_grid(df.sparkSession, labels).join(counts, ["true_label", "pred_label"], "left")
               .select("true_label", "pred_label", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
+    return inside.unionByName(counts.where("true_label IS NULL OR pred_label IS NULL")
+                              .select("true_label", "pred_label", F.col("n").cast("long").alias("n")))
 
 
 def classification_report(df: DataFrame, label: str = "label", pred: str = "prediction",
@@ -55,7 +60,9 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
                           digits: int = 6) -> DataFrame:
     """Per-class precision/recall/F1/support, then 'accuracy', 'macro avg',
     'weighted avg' rows (zero division -> 0, as sklearn's default warns and
-    returns 0)."""
+    returns 0). A NULL prediction, or one that is no label, is a wrong one: it
+    counts in its class's support and in the accuracy. So does a row whose own
+    label is none of ``labels``, in the accuracy alone."""
     labels = list(labels) if labels is not None else label_set(df, label, pred)
     # k x k rows, written once: every statistic below reads the small table
     # instead of re-deriving it from the scored input
@@ -65,6 +72,8 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
         F.sum(F.when(F.col("true_label") == F.col("pred_label"), F.col("n")).otherwise(0)).alias("tp"))
     per_pred = cm.groupBy(F.col("pred_label").alias("lab")).agg(F.sum("n").alias("predicted"))
     z = lambda num, den: F.when(den > 0, num / den).otherwise(F.lit(0.0))
+    # rows without a known label are in no class
+    rows_all = cm.agg(F.sum("n").alias("all_rows"))
     pc = (per_true.join(per_pred, "lab")
                   .withColumn("precision", z(F.col("tp"), F.col("predicted")))
                   .withColumn("recall", z(F.col("tp"), F.col("support")))
@@ -82,12 +91,12 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
                  F.sum("precision").alias("p"), F.sum("recall").alias("rc"), F.sum("f1_score").alias("f"),
                  F.sum(F.col("precision") * F.col("support")).alias("wp"),
                  F.sum(F.col("recall") * F.col("support")).alias("wr"),
-                 F.sum(F.col("f1_score") * F.col("support")).alias("wf"))
+                 F.sum(F.col("f1_score") * F.col("support")).alias("wf")).join(rows_all)
     s = F.col("s")
     summary = tot.select(F.explode(F.array(
         F.struct(F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
-                 F.lit(None).cast("double").alias("recall"), r(z(F.col("tp"), s)).alias("f1_score"),
-                 s.cast("long").alias("support")),
+                 F.lit(None).cast("double").alias("recall"), r(z(F.col("tp"), F.col("all_rows"))).alias("f1_score"),
+                 F.col("all_rows").cast("long").alias("support")),
         F.struct(F.lit("macro avg").alias("label"), r(F.col("p") / F.col("k")).alias("precision"),
                  r(F.col("rc") / F.col("k")).alias("recall"), r(F.col("f") / F.col("k")).alias("f1_score"),
                  s.cast("long").alias("support")),

@@ -7,8 +7,9 @@ do not depend on partitioning or task retries, and DuckDB can reproduce them.
 instead of one ``row_number`` window per class (a class holding a third of
 the rows would be a third of the table in one task) rows are counted per
 (group, 16-bit hash bucket), the cutoff bucket of each group is found on that
-small table, and only rows inside the cutoff bucket (about 1/65536 of the
-group) are ranked.
+small table, and only the keys inside the cutoff buckets (about 1/65536 of a
+group) are ranked. That gives one cutoff row per group; the rows themselves are
+compared with it where they are, in one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -17,50 +18,64 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orrery.functions.columns import hash_unit, hex_prefix_int, key_hash
+from orrery.session import cut_lineage
 
 BUCKET_HEX = 4                      # 16-bit buckets
-N_BUCKETS = 1 << (4 * BUCKET_HEX)
+MAX_GROUPS = 100_000
 
 
 def select_first_per_group(df: DataFrame, group: str, quotas,
                            key_cols: Sequence[str], seed: int | str,
                            flag: str = "_selected") -> DataFrame:
     """Flag the first ``quota`` rows of each group in md5(key:seed) order
-    (ties, which need an md5 collision, fall back to the key).
+    (ties, which need an md5 collision or a repeated key, by a hash of the
+    whole row; rows that are equal in every column go together).
 
     ``quotas``: a DataFrame (group, quota) - groups missing from it get quota
     0 - or a function from the per-group counts (group, n) to such a
-    DataFrame, which then costs no extra scan of ``df``."""
+    DataFrame, which then costs no extra scan of ``df``. At most MAX_GROUPS
+    groups: one cutoff row for each is collected and broadcast."""
     h = key_hash(key_cols, seed)
-    hd = df.withColumns({"_h": h, "_b": hex_prefix_int(h, BUCKET_HEX).cast("int")})
-    w = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    bucket_counts = hd.groupBy(group, "_b").agg(F.count("*").alias("_cnt"))
-    if callable(quotas):
-        quotas = quotas(bucket_counts.groupBy(group).agg(F.sum("_cnt").alias("n")))
-    per_bucket = (bucket_counts
-                    .withColumn("_cum", F.sum("_cnt").over(w))
-                    .join(quotas.select(F.col(group), F.col("quota").alias("_q")), group, "left")
-                    .withColumn("_q", F.coalesce("_q", F.lit(0))))
-    cut = (per_bucket.where(F.col("_cum") >= F.col("_q"))
-             .groupBy(group).agg(F.min(F.struct("_b", (F.col("_q") - F.col("_cum") + F.col("_cnt")).alias("_need"))).alias("m"))
-             .select(group, F.col("m._b").alias("_cut"), F.col("m._need").alias("_need")))
-    # one row per group: AQE measures it after its shuffle and broadcasts it
-    # when it is under the broadcast threshold (a runtime size check)
-    cut_j = cut
-    joined = hd.join(cut_j, hd[group].eqNullSafe(cut_j[group]), "left").drop(cut_j[group])
-    # groups whose quota exceeds their size have no cutoff row: everything selected
-    cutoff = F.coalesce(F.col("_cut"), F.lit(N_BUCKETS))
-    outside = (joined.where(F.col("_b") != cutoff)
-                     .withColumn(flag, F.col("_b") < cutoff))
-    # repeated keys: a hash of the whole row makes the order (and so the result
-    # under task retries) deterministic
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    rank_w = Window.partitionBy(group, "_b").orderBy("_h", *key_cols, row_hash)
-    inside = (joined.where(F.col("_b") == cutoff)
-                    .withColumn(flag, F.row_number().over(rank_w) <= F.col("_need")))
-    return outside.unionByName(inside).drop("_h", "_b", "_cut", "_need")
+    order = F.struct(h.alias("h"), row_hash.alias("r"))
+    bucket = hex_prefix_int(h, BUCKET_HEX).cast("int")
+    keys = df.select(F.col(f"`{group}`").alias("g"), bucket.alias("b"), order.alias("o"))
+    w = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
+    counts = cut_lineage(keys.groupBy("g", "b").agg(F.count("*").alias("cnt")), "split-counts")
+    if callable(quotas):
+        quotas = quotas(counts.groupBy(F.col("g").alias(group)).agg(F.sum("cnt").alias("n")))
+    quotas = quotas.select(F.col(group).alias("qg"), F.col("quota").alias("q"))
+    per_bucket = (counts.withColumn("cum", F.sum("cnt").over(w))
+                  .join(quotas, F.col("g").eqNullSafe(F.col("qg")), "left")
+                  .withColumn("q", F.coalesce("q", F.lit(0))))
+    # the bucket in which a group's quota is reached, and how many of its rows are needed
+    cut = (per_bucket.where(F.col("cum") >= F.col("q")).groupBy("g")
+           .agg(F.min(F.struct("b", (F.col("q") - F.col("cum") + F.col("cnt")).alias("need"))).alias("m"))
+           .select("g", F.col("m.b").alias("cut"), F.col("m.need").alias("need")).limit(MAX_GROUPS + 1))
+    schema = cut.schema
+    rows = cut.collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"{group} has more than {MAX_GROUPS} groups")
+    spark = df.sparkSession
+    cut = F.broadcast(spark.createDataFrame(rows, schema).withColumnRenamed("g", "cg"))
+    inside = keys.join(cut, F.col("g").eqNullSafe(F.col("cg")) & (F.col("b") == F.col("cut")))
+    rank = Window.partitionBy("g").orderBy("o")
+    last = (inside.withColumn("rn", F.row_number().over(rank)).where(F.col("rn") <= F.col("need"))
+            .groupBy("g").agg(F.max("o").alias("last")))
+    last_rows = {r.g: r["last"] for r in last.collect()}
+    ends = spark.createDataFrame(
+        [(r.g, r.cut, *(last_rows.get(r.g) or (None, None))) for r in rows],
+        T.StructType([T.StructField("_cg", schema["g"].dataType), T.StructField("_cut", T.IntegerType()),
+                      T.StructField("_h", T.StringType()), T.StructField("_r", T.LongType())]))
+    joined = df.join(F.broadcast(ends), F.col(f"`{group}`").eqNullSafe(F.col("_cg")), "left")
+    # a group whose quota exceeds its size has no cutoff: all of it is selected
+    upto = (bucket < F.col("_cut")) | ((bucket == F.col("_cut")) & F.coalesce(
+        (h < F.col("_h")) | ((h == F.col("_h")) & (row_hash <= F.col("_r"))), F.lit(False)))
+    return (joined.withColumn(flag, F.col("_cut").isNull() | upto)
+            .select(*[F.col(f"`{c}`") for c in df.columns], flag))
 
 
 def stratified_allocation(df: DataFrame, target: str, test_size: float) -> DataFrame:

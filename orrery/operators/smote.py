@@ -19,6 +19,7 @@ from orrery.operators.neighbors import knn_join
 from orrery.operators.sampling import select_first_per_group
 
 MAX_CLASSES = 100_000
+COPIES = 10_000  # made from one row at once
 
 
 def smote(df: DataFrame, label_col: str = "label", id_col: str = "id", vec_col: str = "vec",
@@ -44,7 +45,13 @@ def smote(df: DataFrame, label_col: str = "label", id_col: str = "id", vec_col:
     copies = (flagged.join(F.broadcast(quota), label_col)
                      .withColumn("_copies", F.col("_base") + F.col("_selected").cast("long"))
                      .where(F.col("_copies") > 0)
-                     .withColumn("copy_no", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
+                     # in chunks, dealt out between: few rows may have very many copies
+                     .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                                F.floor((F.col("_copies") - 1) / COPIES))))
+                     .repartition(id_col, "_chunk")
+                     .withColumn("copy_no", F.explode(F.sequence(
+                         F.col("_chunk") * COPIES,
+                         F.least(F.col("_copies"), (F.col("_chunk") + 1) * COPIES) - 1)))
                      .withColumn("_h", key_hash([id_col, "copy_no"], seed))
                      .withColumn("rank", (1 + hex_prefix_int(F.col("_h"), 8) % F.col("_kk")).cast("int"))
                      .withColumn("_u", F.conv(F.substring("_h", 9, 13), 16, 10).cast("long")

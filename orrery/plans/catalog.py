@@ -18,6 +18,7 @@ from orrery.operators import sampling as S
 from orrery.operators.incremental import color_columns, process_incremental
 from orrery.operators.scale import standardize
 from orrery.plans import prepare
+from orrery.session import cut_lineage, stage_path
 from orrery.sources import tables as T
 from orrery.sources.observations import CLASS_LABELS, KEY, TARGET, observations, read_table
 
@@ -206,25 +207,48 @@ def q_sample_processed(spark, sf):
 
 
 def q_bulk_load(spark, sf):
-    t = T.Tables(spark)
+    root = stage_path(spark, "tables")
     src = FE.prepare_ingest(observations(spark, sf)).select(KEY, TARGET, "is_processed")
-    t.load(src, "stellar_data", "replace")
-    t.load(src, "stellar_data", "append")
-    return t.read("stellar_data")
+    T.Tables(spark, root).load(src, "catalog_data", "replace")
+    T.Tables(spark, root).load(src, "catalog_data", "append")  # as another job would
+    try:
+        T.Tables(spark, root).load(src, "catalog_data", "fail")
+    except ValueError:
+        return spark.table("catalog_data")
+    raise RuntimeError("an existing table was written in mode fail")
+
+
+def _ingested(spark, sf):
+    import datetime as dt
+    t = T.Tables(spark, stage_path(spark, "tables"))
+    clock = dt.datetime.fromisoformat(FIXED_CLOCK)
+    for _ in range(2):  # rerun: same table, not twice the rows
+        t.ingest(observations(spark, sf), "catalog_data", FE.prepare_ingest, "INGEST_20240101_000000", clock)
+
+    def broken(df):
+        raise ValueError("no such column")
+
+    try:
+        t.ingest(observations(spark, sf), "catalog_data", broken, "INGEST_20240101_000000", clock)
+    except ValueError:
+        return t
+    raise RuntimeError("a failed ingest did not raise")
 
 
 def q_ingest_refresh(spark, sf):
-    t = T.Tables(spark)
-    src = FE.prepare_ingest(observations(spark, sf))
-    t.replace(src, "stellar_data")
-    t.replace(src, "stellar_data")      # rerun: same table, not twice the rows
-    return t.read("stellar_data")
+    return _ingested(spark, sf).read("catalog_data")
 
 
 def q_table_read(spark, sf):
-    t = T.Tables(spark)
-    t.replace(observations(spark, sf), "stellar_data")
-    return t.read("stellar_data").where(F.col("is_processed")).orderBy(KEY)
+    t = T.Tables(spark, stage_path(spark, "tables"))
+    t.replace(observations(spark, sf), "catalog_data")
+    return t.read("catalog_data").where(F.col("is_processed")).orderBy(KEY)
+
+
+def q_table_read_all(spark, sf):
+    t = T.Tables(spark, stage_path(spark, "tables"))
+    t.replace(observations(spark, sf), "catalog_data")
+    return t.read("catalog_data").orderBy(KEY)
 
 
 def q_param_query(spark, sf):
@@ -235,14 +259,14 @@ def q_param_query(spark, sf):
 
 
 def q_split_sink(spark, sf):
-    t = T.Tables(spark)
-    t.replace(prepare.split_observations(spark, sf), "stellar_split", partition_by=["data_split"])
-    return t.read("stellar_split").groupBy("data_split", TARGET).agg(F.count("*").alias("n_rows"))
+    t = T.Tables(spark, stage_path(spark, "tables"))
+    t.replace(prepare.split_observations(spark, sf), "catalog_split", partition_by=["data_split"])
+    return t.read("catalog_split").groupBy("data_split", TARGET).agg(F.count("*").alias("n_rows"))
 
 
 def q_run_log(spark, sf):
-    return T.run_log_row(observations(spark, sf), "INGEST_20240101_000000", "INGESTION",
-                         "COMPLETED", color_columns(), FIXED_CLOCK)
+    """The log that two ingests and a failed one have left."""
+    return _ingested(spark, sf).read("pipeline_runs")
 
 
 def q_process_incremental(spark, sf):
@@ -286,6 +310,7 @@ QUERIES = {
     "bulk_load": q_bulk_load,
     "ingest_refresh": q_ingest_refresh,
     "table_read": q_table_read,
+    "table_read_all": q_table_read_all,
     "param_query": q_param_query,
     "split_sink": q_split_sink,
     "run_log": q_run_log,
@@ -344,17 +369,17 @@ FEATURES = ["alpha", "delta", "u", "g", "r", "i", "z", "rerun_id", "redshift", "
             "u_g", "g_r", "r_i", "i_z"]
 
 
-# Reference configuration values for the forest (its YAML declares max_depth 10).
+# The reference's forest: 100 trees without a depth limit; Spark's limit is 30.
 RF_TREES = 100
-RF_DEPTH = 10
+RF_DEPTH = 30
 
 
 def labelled_split(spark, sf) -> DataFrame:
     """The split table, materialised once into the shared checkpoint folder
     (the reference's "save split sets" step): fitting and evaluation read it
     many times and must not recompute the split."""
-    from orrery.session import cut_lineage
-    return cut_lineage(prepare.split_observations(spark, sf).withColumnRenamed(TARGET, "label"))
+    split = prepare.split_observations(spark, sf).withColumnRenamed(TARGET, "label")
+    return cut_lineage(split.repartition(spark.sparkContext.defaultParallelism, KEY))
 
 
 def _fit_report(model, test: DataFrame, name: str) -> DataFrame:
@@ -404,21 +429,23 @@ QUERIES.update({
 
 # -- streaming ----------------------------------------------------------------
 def q_stream_incremental(spark, sf):
-    """Unprocessed catalog rows land as files; one availableNow run processes
-    them, a second run finds nothing new; the sink holds the processed rows."""
-    import uuid
-
-    from orrery.session import ensure_checkpoint_dir
+    """Unprocessed catalog rows arrive as files and are handled in several
+    micro-batches; then a tenth of the keys is sent again with another u. The
+    sink has the last row of every key, those without a class unprocessed."""
     from orrery.streaming.incremental import read_sink, run_incremental
-    base = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex[:8]}"
+    base = stage_path(spark, "stream")
     src = observations(spark, sf).where(~F.col("is_processed"))
-    src.write.parquet(f"{base}/source")
+    tasks = spark.sparkContext.defaultParallelism
+    src.repartition(tasks, KEY).write.parquet(f"{base}/source")
     args = dict(spark=spark, source=f"{base}/source", schema=src.schema, sink=f"{base}/sink",
-                checkpoint=f"{base}/checkpoint", now=FIXED_CLOCK)
+                checkpoint=f"{base}/checkpoint", now=FIXED_CLOCK, key=KEY, max_files=max(1, tasks // 2))
     run_incremental(**args)
     if run_incremental(**args) != 0:
         raise RuntimeError("second availableNow run re-processed rows")
-    return read_sink(spark, f"{base}/sink").select(KEY, "is_processed", *color_columns(), "updated_at")
+    again = src.where(F.col("plate") % 10 == 0).withColumn("u", F.col("u") + 1)
+    again.repartition(tasks, KEY).write.mode("append").parquet(f"{base}/source")
+    run_incremental(**args)
+    return read_sink(spark, f"{base}/sink", KEY).select(KEY, "is_processed", *color_columns(), "updated_at")
 
 
 QUERIES["stream_incremental"] = q_stream_incremental
@@ -427,11 +454,8 @@ QUERIES["stream_incremental"] = q_stream_incremental
 def q_scan_typed(spark, sf):
     """Catalog rows round-tripped through CSV and read back with an explicit
     schema (corrupt-record quarantine on)."""
-    import uuid
-
-    from orrery.session import ensure_checkpoint_dir
     from orrery.sources.scan import read_csv_typed, write_csv
-    path = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex[:8]}"
+    path = stage_path(spark, "csv")
     src = observations(spark, sf)
     write_csv(src, path)
     good, bad = read_csv_typed(spark, path, src.schema)

@@ -7,7 +7,7 @@ uses the direct one, so agreement checks the scalable plan."""
 
 from __future__ import annotations
 
-from orrery.sources.observations import OBSERVATIONS_SQL
+from orrery.sources.observations import OBSERVATION_TYPES, OBSERVATIONS_SQL
 
 OBS = f"observations AS ({OBSERVATIONS_SQL})"
 
@@ -316,23 +316,28 @@ SELECT obj_id, u, g, r, i, z, u - g AS calculated_u_g, g - r AS calculated_g_r,
 FROM observations WHERE NOT is_processed""")
 SQL["sample_processed"] = with_(SPLIT, """
 SELECT obj_id, u, g, r, i, z, u_g, g_r, r_i, i_z, class, is_processed
-FROM split WHERE is_processed ORDER BY obj_id LIMIT 100""")
+FROM split WHERE is_processed ORDER BY obj_id LIMIT 250""")
 SQL["bulk_load"] = with_(OBS, """
 SELECT obj_id, class, false AS is_processed FROM observations
 UNION ALL
 SELECT obj_id, class, false AS is_processed FROM observations""")
 SQL["ingest_refresh"] = SQL["prepare_ingest"]
 SQL["table_read"] = with_(OBS, "SELECT * FROM observations WHERE is_processed ORDER BY obj_id")
+SQL["table_read_all"] = with_(OBS, "SELECT * FROM observations ORDER BY obj_id")
 SQL["param_query"] = with_(OBS, """
 SELECT class, count(*) AS n_rows, round(avg(g), 6) AS mean_g FROM observations WHERE u > 25 GROUP BY class""")
 SQL["split_sink"] = with_(SPLIT, "SELECT data_split, class, count(*) AS n_rows FROM split GROUP BY ALL")
+# the columns that an ingest leaves, in their order
+INGESTED = [*("delta_coord" if c == "delta" else c for c in OBSERVATION_TYPES), "data_split"]
 SQL["run_log"] = with_(OBS, """
 SELECT 'INGEST_20240101_000000' AS run_id, 'INGESTION' AS run_type, 'COMPLETED' AS status,
        count(*) AS records_processed, TIMESTAMP '2024-01-01 00:00:00' AS start_time,
        TIMESTAMP '2024-01-01 00:00:00' AS end_time, CAST(NULL AS VARCHAR) AS error_message,
-       CAST(json_object('processed_records', count(*),
-            'feature_columns', ['u_g_color', 'g_r_color', 'r_i_color', 'i_z_color']) AS VARCHAR) AS metadata
-FROM observations""")
+       CAST(json_object('processed_records', count(*), 'feature_columns', @COLUMNS@) AS VARCHAR) AS metadata
+FROM observations, range(2) AS runs(run) GROUP BY run
+UNION ALL
+SELECT 'INGEST_20240101_000000_FAIL', 'INGESTION', 'FAILED', NULL, TIMESTAMP '2024-01-01 00:00:00',
+       TIMESTAMP '2024-01-01 00:00:00', 'no such column', NULL""".replace("@COLUMNS@", repr(INGESTED)))
 SQL["process_incremental"] = with_(OBS + """,
 med AS (SELECT """ + ", ".join(f"median({b}) AS m_{b}" for b in BANDS) + """
         FROM observations WHERE NOT is_processed),
@@ -412,11 +417,13 @@ FROM scored""")
 SQL["stream_incremental"] = with_(OBS + """,
 src AS (SELECT * FROM observations WHERE NOT is_processed),
 med AS (SELECT """ + ", ".join(f"median({b}) AS m_{b}" for b in BANDS) + """ FROM src),
+last AS (SELECT * REPLACE (u + CASE WHEN plate % 10 = 0 THEN 1 ELSE 0 END AS u) FROM src),
 f AS (SELECT s.obj_id, s.class, """ + ", ".join(
-    f"coalesce(s.{b}, m_{b}) AS {b}" for b in BANDS) + """ FROM src s, med)""", """
-SELECT obj_id, true AS is_processed,
-""" + ",\n".join(f"{a} - {b} AS {a}_{b}_color" for a, b in zip(BANDS[:-1], BANDS[1:])) + """,
-TIMESTAMP '2024-01-01 00:00:00' AS updated_at
-FROM f WHERE class IS NOT NULL""")
+    f"coalesce(s.{b}, m_{b}) AS {b}" for b in BANDS) + """ FROM last s, med)""", """
+SELECT obj_id, class IS NOT NULL AS is_processed,
+""" + ",\n".join(f"CASE WHEN class IS NOT NULL THEN {a} - {b} END AS {a}_{b}_color"
+                 for a, b in zip(BANDS[:-1], BANDS[1:])) + """,
+CASE WHEN class IS NOT NULL THEN TIMESTAMP '2024-01-01 00:00:00' END AS updated_at
+FROM f""")
 
 SQL["scan_typed"] = with_(OBS, "SELECT * FROM observations")

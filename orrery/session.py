@@ -145,15 +145,3 @@ def ship_package(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(path)
     spark.conf.set(_SHIPPED, "true")
 
-
-def ensure_parallelism(df, minimum: int | None = None):
-    """Spread a scan that plans fewer partitions than the cluster has cores
-    (one small file, one row group) over ``defaultParallelism`` tasks. On a
-    large table this is a no-op: a 100 TB scan plans thousands of splits.
-    Filters and column pruning still reach the scan below the repartition."""
-    want = minimum or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    # hash on every column: deterministic under retries without the sort that a
-    # round-robin repartition needs
-    return df.repartition(want, *[df[c] for c in df.columns])

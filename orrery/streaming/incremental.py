@@ -1,40 +1,65 @@
 """Structured-Streaming form of "process only what is not yet processed".
 
-New files in the source folder are the unprocessed rows. A run with
-``trigger(availableNow=True)`` processes everything that arrived since the
-last run and stops; the checkpoint records which files were seen, so an
-immediate second run processes 0 rows. Each micro-batch goes through the
-same set-based update as the batch job and is written to
-``<sink>/epoch=<id>`` with overwrite, so a retried epoch replaces its own
-output instead of duplicating it (idempotent sink)."""
+New files in the source folder are the arriving rows. A run with
+``trigger(availableNow=True)`` handles everything that arrived since the last
+run and stops; the checkpoint records which files were seen, so an immediate
+second run handles 0 rows.
+
+Every arriving row is kept: those without a target stay unprocessed, those
+already processed stay as they are. The sink is a log of ``epoch=<id>``
+folders, each written with overwrite, so a retried epoch replaces its own
+output; ``read_sink`` gives the last row of each key, which makes the log an
+upsert. The medians that fill missing bands are taken once, from what the
+source holds when the first run starts, and kept beside the checkpoint: how
+files fall into micro-batches doesn't change a result.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from orrery.functions.columns import DEFAULT_BANDS
-from orrery.operators.incremental import process_incremental
+from orrery.operators.incremental import band_medians, process_incremental
+
+
+def _medians(spark: SparkSession, path: str, rows: DataFrame, bands: Sequence[str], flag: str) -> dict:
+    """The medians kept at ``path``; taken from ``rows`` if there are none yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        got = band_medians(rows.where(~F.col(flag)), bands)
+        spark.createDataFrame(list(got.items()), "band string, median double").write.mode("overwrite").parquet(path)
+    return {r.band: r.median for r in spark.read.schema("band string, median double").parquet(path).collect()}
 
 
 def run_incremental(spark: SparkSession, source: str, schema: StructType | str, sink: str,
                     checkpoint: str, bands: Sequence[str] = DEFAULT_BANDS, target: str = "class",
-                    flag: str = "is_processed", now=None) -> int:
-    """Process all newly arrived rows; returns the number of rows read."""
+                    flag: str = "is_processed", now=None, key: str = "obj_id",
+                    medians: Mapping[str, float] | None = None, max_files: int | None = None) -> int:
+    """Handle all newly arrived rows; returns how many were read. Of rows with
+    one key in one micro-batch the one with the largest row hash counts."""
     totals = {"rows": 0}
+    flagged = lambda df: df if flag in df.columns else df.withColumn(flag, F.lit(False))
+    if medians is None:
+        rows = flagged(spark.read.schema(schema).parquet(source))
+        medians = _medians(spark, f"{checkpoint.rstrip('/')}-medians", rows, bands, flag)
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        rows = batch if flag in batch.columns else batch.withColumn(flag, F.lit(False))
-        new, n_read = process_incremental(rows, bands, target, flag, now=now)
-        if n_read == 0:
-            return
-        new.where(F.col(flag)).write.mode("overwrite").parquet(f"{sink.rstrip('/')}/epoch={epoch_id}")
-        totals["rows"] += n_read
-
-    q = (spark.readStream.schema(schema).parquet(source)
+        rows = flagged(batch).persist()
+        try:
+            totals["rows"] += rows.count()
+            new, _ = process_incremental(rows, bands, target, flag, now=now, medians=medians)
+            new.write.mode("overwrite").parquet(f"{sink.rstrip('/')}/epoch={epoch_id}")
+        finally:
+            rows.unpersist()
+
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    q = (reader.parquet(source)
               .writeStream.foreachBatch(upsert)
               .option("checkpointLocation", checkpoint)
               .trigger(availableNow=True).start())
@@ -42,5 +67,10 @@ def run_incremental(spark: SparkSession, source: str, schema: StructType | str,
     return totals["rows"]
 
 
-def read_sink(spark: SparkSession, sink: str) -> DataFrame:
-    return spark.read.parquet(sink)
+def read_sink(spark: SparkSession, sink: str, key: str = "obj_id") -> DataFrame:
+    """The last row of each key. A null key is not a key: all its rows stay."""
+    log = spark.read.parquet(sink)
+    columns = [c for c in log.columns if c != "epoch"]
+    last = Window.partitionBy(key).orderBy(F.desc("epoch"), F.desc(F.xxhash64(*columns)))
+    ranked = log.where(F.col(key).isNotNull()).withColumn("_rn", F.row_number().over(last)).where("_rn = 1")
+    return ranked.select(*columns).unionByName(log.where(F.col(key).isNull()).select(*columns))

@@ -41,3 +41,12 @@ def test_select_best_prefers_default_on_tie(spark):
     assert select_best(m).first()["best_model"] == "random_forest"
     m2 = spark.createDataFrame([("svm", 0.91), ("random_forest", 0.9)], "model string, accuracy double")
     assert select_best(m2).first()["best_model"] == "svm"
+
+
+def test_rows_outside_the_labels_are_counted(spark):
+    df = spark.createDataFrame([(0, 0), (1, 1), (1, None), (0, 7), (None, 0)], "label int, prediction int")
+    cm = {(r.true_label, r.pred_label): r.n for r in confusion_matrix(df, labels=[0, 1]).collect()}
+    assert cm == {(0, 0): 1, (0, 1): 0, (1, 0): 0, (1, 1): 1, (1, None): 1, (0, None): 1, (None, 0): 1}
+    rep = {r.label: r for r in classification_report(df, labels=[0, 1]).collect()}
+    assert rep["accuracy"].f1_score == 0.4 and rep["accuracy"].support == 5
+    assert rep["0"].support == rep["1"].support == 2 and rep["0"].recall == 0.5 and rep["0"].precision == 0.5

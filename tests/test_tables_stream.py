@@ -1,18 +1,20 @@
 import uuid
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from orrery.operators.features import prepare_ingest
 from orrery.operators.incremental import process_incremental
-from orrery.session import ensure_checkpoint_dir
+from orrery.session import ensure_checkpoint_dir, stage_path
 from orrery.sources.observations import observations
-from orrery.sources.tables import Tables
+from orrery.sources.tables import Tables, sample_processed
 from orrery.streaming.incremental import read_sink, run_incremental
 from tests.conftest import SF_SMALL
 
 
 def test_refresh_twice_equals_once_and_append_doubles(spark):
-    t = Tables(spark)
+    t = Tables(spark, stage_path(spark, "t"))
     src = prepare_ingest(observations(spark, SF_SMALL))
     n1 = t.replace(src, "obs")
     n2 = t.replace(src, "obs")
@@ -39,13 +41,63 @@ def test_stream_equals_batch(spark):
                 checkpoint=f"{base}/ck", now="2024-01-01 00:00:00")
     assert run_incremental(**args) == src.count()
     assert run_incremental(**args) == 0
-    streamed = read_sink(spark, f"{base}/sink").select("obj_id", "u_g_color").toPandas()
+    streamed = read_sink(spark, f"{base}/sink").where("is_processed").select("obj_id", "u_g_color").toPandas()
     batch, _ = process_incremental(src, now="2024-01-01 00:00:00")
     b = batch.where("is_processed").select("obj_id", "u_g_color").toPandas()
     m = streamed.merge(b, on="obj_id")
     assert len(m) == len(b) == len(streamed) and (m.u_g_color_x == m.u_g_color_y).all()
 
 
+def test_tables_hold_across_objects(spark):
+    root = stage_path(spark, "t")
+    a = spark.range(10).withColumn("p", F.col("id") % 2)
+    assert Tables(spark, root).load(a, "t1", "append") == 10
+    assert Tables(spark, root).load(a, "t1", "append") == 10
+    assert spark.table("t1").count() == Tables(spark, root).read("t1").count() == 20
+    with pytest.raises(ValueError):
+        Tables(spark, root).load(a, "t1", "fail")
+    assert Tables(spark, root).load(a.limit(3), "t1", "replace", ["p"]) == 3
+    assert Tables(spark, root).load(a.limit(3), "t1", "append", ["p"]) == 3
+    assert sorted(r.id for r in spark.table("t1").collect()) == [0, 0, 1, 1, 2, 2]
+    assert Tables(spark, root).vacuum("t1") == 1 and spark.table("t1").count() == 6
+
+
+def test_failed_ingest_is_logged_and_raised(spark):
+    t = Tables(spark, stage_path(spark, "t"))
+    assert t.ingest(spark.range(5), "x", lambda df: df) == 5
+    with pytest.raises(Exception, match="nope"):
+        t.ingest(spark.range(7), "x", lambda df: df.select("nope"))
+    log = {r.status: r for r in t.read("pipeline_runs").collect()}
+    assert log["COMPLETED"].records_processed == 5 and "nope" in log["FAILED"].error_message
+    assert t.read("x").count() == 5
+
+
+def test_stream_keeps_every_row_and_the_last_of_each_key(spark):
+    base = stage_path(spark, "s")
+    schema = "obj_id string, u double, g double, r double, i double, z double, class string, is_processed boolean"
+    row = lambda k, g, c, p=False: (k, 5.0, g, 1.0, 1.0, 1.0, c, p)
+    put = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/src")
+    args = dict(spark=spark, source=f"{base}/src", schema=schema, sink=f"{base}/sink", checkpoint=f"{base}/ck",
+                now="2024-01-01 00:00:00", max_files=1)
+    put([row("a", 1.0, "x"), row("b", None, "x"), row("p", 1.0, "x", True)])
+    put([row("q", 2.0, "x", True), row("c", 3.0, None), row("d", None, "y")])
+    assert run_incremental(**args) == 6 and run_incremental(**args) == 0
+    put([row("a", 9.0, "x"), row("e", None, "x")])
+    assert run_incremental(**args) == 2
+    got = {r.obj_id: (r.is_processed, r.u_g_color) for r in read_sink(spark, f"{base}/sink").collect()}
+    # the median of g over the unprocessed rows of the first run is 2
+    assert got == {"a": (True, -4.0), "b": (True, 3.0), "p": (True, None), "q": (True, None), "c": (False, None),
+                   "d": (True, 3.0), "e": (True, 3.0)}
+
+
+def test_sample_has_no_silent_clamp(spark):
+    df = spark.range(300).select(F.col("id").alias("obj_id"), F.lit(True).alias("is_processed"))
+    assert sample_processed(df, 250).count() == 250
+    for bad in (0, 101):
+        with pytest.raises(ValueError):
+            sample_processed(df, bad, max_limit=100)
+
+
 def test_csv_quarantine(spark, tmp_path):
     from orrery.sources.scan import read_csv_typed
     p = tmp_path / "in.csv"
