@@ -317,14 +317,17 @@ def repeats(docs: DataFrame, length: int = 200, crowd: int = 2000, id_col: str =
     every, p_every = write(spans(rows, length), "spans")
     shared = (every.groupBy("cls").agg(F.count("*").alias("n"), F.min("span").alias("a"), F.max("span").alias("b"))
               .where("n > 1").select("cls", (F.col("a") != F.col("b")).alias("mixed")))
+    # a written table, not the aggregate itself: only then can Spark split a hot anchor's rows in the join
+    shared, p_shared = write(shared, "anchors")
     again, p_again = write(every.join(shared, "cls"), "shared")
-    drop_stage(spark, p_every)
+    drop_stage(spark, p_every, p_shared)
     release(spark)
     mixed = again.where("mixed")
     kinds = mixed.groupBy("cls", "span").agg(F.count("*").alias("n"), F.min("k1").alias("rep"))
     kinds, p_kinds = write(kinds, "kinds")
     edges = (kinds.groupBy("cls").agg(F.count("*").alias("spans"), F.min("n").alias("least"))
              .select("cls", (F.col("least") == 1).alias("open"), (F.col("spans") > crowd).alias("crowded")))
+    edges, p_edges = write(edges, "edges")
     told, p_told = write(mixed.join(kinds.join(edges, "cls"), ["cls", "span"]), "told")
     release(spark)
     lo, more = F.shiftright("at", 24), F.shiftright("at", 12).bitwiseAND(F.lit(4095))
@@ -338,7 +341,7 @@ def repeats(docs: DataFrame, length: int = 200, crowd: int = 2000, id_col: str =
     found = (whole.unionByName(_sorted_buckets(contexts.where("NOT crowded"), length))
              .unionByName(_counted_windows(contexts.where("crowded"), length)))
     lists, p_lists = write(found.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("found")), "lists")
-    drop_stage(spark, p_again, p_kinds, p_told, p_contexts)
+    drop_stage(spark, p_again, p_kinds, p_edges, p_told, p_contexts)
     release(spark)
     return lists, p_lists
 
