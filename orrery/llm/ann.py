@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orrery.session import cut_lineage, ship_package
+from orrery.llm.common import mapped
+from orrery.session import cut_lineage
 
 AXES, LEVELS = 8, 8  # 64-bit keys
 
@@ -98,7 +99,6 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, curves: int = 36, b
     to ``block`` rows are searched whole. Rows equal in id and vector count
     once. Empty table: empty result. Other columns are not read."""
     spark = vectors.sparkSession
-    ship_package(spark)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = cut_lineage(distinct_vectors(vectors, every, k + 1, id_col, vec_col), "ann-vectors")
     norm = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
@@ -121,8 +121,8 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, curves: int = 36, b
                     [pa.array(np.full(n, c, np.int32)), pa.array(key), pa.array(np.r_[gid, gid[asks]]),
                      pa.array(np.arange(n) >= len(gid))], names=["curve", "key", "gid", "query"])
 
-    made = base.select("gid", "vec", "asks").repartition(tasks, "gid").mapInArrow(
-        keys, "curve int, key long, gid long, query boolean")
+    made = base.select("gid", "vec", "asks").repartition(tasks, "gid").transform(
+        mapped, keys, "curve int, key long, gid long, query boolean")
     order = ["curve", "key", "gid", "query"]
     ranked = cut_lineage(made.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
                          .withColumn("at", F.monotonically_increasing_id()).select("gid", "query", "at"), "ann-order")
@@ -173,7 +173,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20, curves: int = 36, b
                 group.append((query[lo:hi], gid[lo:hi], v[lo:hi]))
         yield from out()
 
-    found = sent.mapInArrow(blocks, "ask long, gid long, score double").groupBy("ask", "gid").agg(
+    found = sent.transform(mapped, blocks, "ask long, gid long, score double").groupBy("ask", "gid").agg(
         F.max("score").alias("score"))
     best = Window.partitionBy("ask").orderBy(F.desc("score"), "gid")
     top = found.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k + 1)

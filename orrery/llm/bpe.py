@@ -26,13 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orrery.llm.common import batches
-from orrery.session import ship_package
+from orrery.llm.common import batches, mapped
 
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BEYOND = re.compile("[\U00010000-\U0010ffff]").search
 MAX_MODEL_BYTES = 64 << 20
-CACHE_ENTRIES = 800_000  # words whose ids a Python worker keeps, at about 200 bytes
+CACHE_ENTRIES = 300_000  # words whose ids a Python worker keeps, at about 200 bytes
 
 
 def byte_chars() -> list[str]:
@@ -320,7 +319,6 @@ def read_model(path: str) -> bytes:
 
 
 def _shared(spark: SparkSession, path: str):
-    ship_package(spark)
     return spark.sparkContext.broadcast(read_model(path))
 
 
@@ -346,7 +344,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "i
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
             yield pa.RecordBatch.from_arrays([*b.columns, ids], names=[*b.schema.names, out_col])
 
-    return src.mapInArrow(run, schema)
+    return src.transform(mapped, run, schema)
 
 
 def decode(frame: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -375,7 +373,7 @@ def decode(frame: DataFrame, path: str, ids_col: str = "ids", out_col: str = "de
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
                                                  names=[*b.schema.names, out_col])
 
-    return src.mapInArrow(run, schema)
+    return src.transform(mapped, run, schema)
 
 
 def digests(encoded: DataFrame, path: str, ids: bool = False) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from orrery.session import ship_package
+from orrery.llm.common import mapped
 
 
 @dataclass(frozen=True)
@@ -138,7 +138,6 @@ def digests(formatted: DataFrame, template: Template = DEFAULT) -> DataFrame:
 
     Conversations are streamed in order, a turn at a time: a hash over a whole
     conversation is sequential, but none is held in memory."""
-    ship_package(formatted.sparkSession)
     src = formatted.select("conv_id", "seq", "segments")
     src = src.repartition("conv_id").sortWithinPartitions("conv_id", "seq")
     schema = T.StructType([src.schema["conv_id"]]).add("n_turns", "long").add("turns_sha256", "string").add(
@@ -172,4 +171,4 @@ def digests(formatted: DataFrame, template: Template = DEFAULT) -> DataFrame:
         if out:
             yield rows(kind)
 
-    return src.mapInArrow(run, schema)
+    return src.transform(mapped, run, schema)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
-import os
 from collections.abc import Iterable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pandas as pd
@@ -14,7 +15,8 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MASK64 = (1 << 64) - 1
+from orrery.session import drop_stage, ship_package, stage_path
+
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,8 +47,33 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def worker_slots(spark: SparkSession) -> int:
-    return max(1, spark.sparkContext.defaultParallelism)
+ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+ROWS = 2000  # texts in an Arrow batch, where the session leaves Spark's default of 10,000
+
+
+def mapped(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package on the executors, batches of a size
+    for texts, and workers that give the memory of a task back when it ends."""
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get(ROWS_SETTING, "10000") == "10000":
+        spark.conf.set(ROWS_SETTING, str(ROWS))
+
+    def lean(it):
+        try:
+            yield from run(it)
+        finally:
+            trim()
+
+    return df.mapInArrow(lean, schema)
+
+
+def trim() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # glibc has it; others need none
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def batches(it: Iterable[pa.RecordBatch], limit: int, column: str) -> Iterator[pa.RecordBatch]:
@@ -93,7 +120,6 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     written table. Rows stay about as many as the edges. An empty table of
     edges gives an empty result. Raises when ``max_rounds`` do not suffice."""
     spark = edges.sparkSession
-    from orrery.session import drop_stage, stage_path
 
     def write(df):
         path = stage_path(spark, "components")

@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orrery.llm import bytehash
-from orrery.llm.common import batches, open_fs, text_bytes
-from orrery.session import ship_package, stage_path
+from orrery.llm.common import batches, mapped, open_fs, text_bytes
+from orrery.session import stage_path
 
 BLOCK_BYTES = 4 << 20
 FOLD = bytehash.lower_table()
@@ -199,7 +199,6 @@ def inspect(docs: DataFrame, items: DataFrame, window: int = 10, text_col: str =
     once; a null item id reads ``null``. Other columns of ``docs`` stay;
     existing columns of the new names are replaced. Words are compared by
     64-bit hashes."""
-    ship_package(docs.sparkSession)
     files = put_items(items)
     src = docs.drop(*ADDED.names)
     at = src.columns.index(text_col)
@@ -251,7 +250,7 @@ def inspect(docs: DataFrame, items: DataFrame, window: int = 10, text_col: str =
                  pa.array([sorted(s) for s in names], pa.list_(pa.string())), pa.array(found, _ARROW_FOUND)],
                 names=[*b.schema.names, *ADDED.names])
 
-    return src.mapInArrow(run, schema)
+    return src.transform(mapped, run, schema)
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = 10, text_col: str = "text") -> DataFrame:

@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orrery.llm.common import batches, text_bytes
-from orrery.session import ship_package
+from orrery.llm.common import batches, mapped, text_bytes
 
 CELLS = 1 << 15
 MAX_LANGUAGES = 512
@@ -53,7 +52,6 @@ def grams(text: bytes) -> np.ndarray:
 def cell_counts(docs: DataFrame, label_col: str = "lang", text_col: str = "text") -> DataFrame:
     """(lang, cell, n): n-gram counts of all rows with a label. Each task adds
     up what it has read before anything is shuffled."""
-    ship_package(docs.sparkSession)
     src = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(label_col).alias("lang"), F.col(text_col).alias("text"))
     schema = T.StructType([src.schema["lang"]]).add("cell", "integer").add("n", "long")
@@ -71,7 +69,7 @@ def cell_counts(docs: DataFrame, label_col: str = "lang", text_col: str = "text"
                 [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(v[at])],
                 names=["lang", "cell", "n"])
 
-    return src.mapInArrow(run, schema).groupBy("lang", "cell").agg(F.sum("n").alias("n"))
+    return src.transform(mapped, run, schema).groupBy("lang", "cell").agg(F.sum("n").alias("n"))
 
 
 class Model:
@@ -142,7 +140,6 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     ``und``, score 0 and an empty mixture. Other columns stay; existing columns
     of these names are replaced. Only the text is looked at."""
     spark = docs.sparkSession
-    ship_package(spark)
     shared = spark.sparkContext.broadcast(model)
     src = docs.drop("lang_pred", "score", "mixture")
     at = src.columns.index(text_col)
@@ -170,7 +167,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 [*b.columns, pa.array(lang, pa.string()), pa.array(score), pa.array(mix, arrow_share)],
                 names=[*b.schema.names, "lang_pred", "score", "mixture"])
 
-    return src.mapInArrow(run, schema)
+    return src.transform(mapped, run, schema)
 
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.3) -> DataFrame:

@@ -20,8 +20,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orrery.llm.common import batches, components, free_name, text_bytes
-from orrery.session import cut_lineage, drop_stage, ship_package, stage_path
+from orrery.llm.common import batches, components, free_name, mapped, text_bytes
+from orrery.session import cut_lineage, drop_stage, stage_path
 
 BITS = 64
 CHUNK = 1 << 15  # shingles whose bits are unpacked at once
@@ -55,7 +55,6 @@ def fingerprint(text: bytes, size: int = 3, seed: int = 42) -> int:
 def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp, th): the fingerprint as a signed long and a hash of the text.
     Null text: fp zero."""
-    ship_package(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     schema = src.select("id", "th").schema.add("fp", "long")
 
@@ -64,7 +63,7 @@ def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_co
             fps = np.array([fingerprint(t, size) for t in text_bytes(b.column(2))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(fps.view(np.int64))], names=["id", "th", "fp"])
 
-    return src.mapInArrow(run, schema)
+    return src.transform(mapped, run, schema)
 
 
 def links(fps: DataFrame, max_bits: int = 2, crowd: int = 32) -> DataFrame:

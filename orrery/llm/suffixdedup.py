@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orrery.llm import bytehash
-from orrery.llm.common import batches, free_name, release, text_bytes
-from orrery.session import drop_stage, ship_package, stage_path
+from orrery.llm.common import batches, free_name, mapped, release, text_bytes
+from orrery.session import drop_stage, stage_path
 
 GRAM = 40
 V = 64
@@ -136,7 +136,7 @@ def spans(rows: DataFrame, length: int) -> DataFrame:
                     [pa.array(cls.view(np.int64)), pa.array(span.view(np.int64)), pa.array(k1[r]),
                      pa.array(k2[r]), pa.array(at)], names=["cls", "span", "k1", "k2", "at"])
 
-    return rows.where(F.octet_length("text") >= length).mapInArrow(run, SPANS)
+    return rows.where(F.octet_length("text") >= length).transform(mapped, run, SPANS)
 
 
 def sample_ranks(buf: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
@@ -240,7 +240,7 @@ def _sorted_buckets(contexts: DataFrame, length: int) -> DataFrame:
     n = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = contexts.select("cls", "span", "k1", "k2", "at", "single", "body").repartition(
         n, "cls").sortWithinPartitions("cls", "span")
-    return dealt.mapInArrow(run, "k1 long, k2 int, lo long, hi long")
+    return dealt.transform(mapped, run, "k1 long, k2 int, lo long, hi long")
 
 
 def _counted_windows(contexts: DataFrame, length: int) -> DataFrame:
@@ -267,7 +267,7 @@ def _counted_windows(contexts: DataFrame, length: int) -> DataFrame:
                     names=["cls", "o", "h", "k1", "k2", "lo", "single"])
 
     one = contexts.dropDuplicates(["cls", "span"]).select("cls", "span", "k1", "k2", "at", "single", "body")
-    rows = one.mapInArrow(run, "cls long, o int, h long, k1 long, k2 int, lo long, single boolean")
+    rows = one.transform(mapped, run, "cls long, o int, h long, k1 long, k2 int, lo long, single boolean")
     key = ["cls", "o", "h"]
     many = rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").drop("n")
     return (rows.where("single").join(many, key)
@@ -296,7 +296,7 @@ def _contexts(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                     pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary(), pa.bool_()))],
                 names=["cls", "span", "k1", "k2", "at", "single", "body", "crowded"])
 
-    return src.mapInArrow(run, schema)
+    return src.transform(mapped, run, schema)
 
 
 def repeats(docs: DataFrame, length: int = 200, crowd: int = 2000, id_col: str = "doc_id",
@@ -306,7 +306,6 @@ def repeats(docs: DataFrame, length: int = 200, crowd: int = 2000, id_col: str =
     if not GRAM < length <= 4000:
         raise ValueError(f"length must be over {GRAM} and at most 4000")
     spark = docs.sparkSession
-    ship_package(spark)
 
     def write(df: DataFrame, name: str) -> tuple[DataFrame, str]:
         path = stage_path(spark, f"suffix-{name}")
@@ -397,5 +396,5 @@ def remove_repeats(docs: DataFrame, length: int = 200, crowd: int = 2000, id_col
                 [*b.columns[:-1], pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()),
                  pa.array(kept, pa.binary())], names=[*columns, *ADDED.names])
 
-    return src.mapInArrow(run, schema)
+    return src.transform(mapped, run, schema)
 

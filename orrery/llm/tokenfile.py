@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from orrery.llm import bpe
-from orrery.llm.common import batches, make_dir, open_fs, open_mapped
-from orrery.session import ship_package, stage_path
+from orrery.llm.common import batches, make_dir, mapped, open_fs, open_mapped
+from orrery.session import stage_path
 
 ROWS = 256  # sequences in a record batch
 PIECES = 1_000_000  # pieces whose ids a Python worker keeps, at about 200 bytes
@@ -180,7 +180,6 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int, length: int = 20
     A task writes its shard under a name of its own; the index, which Spark
     commits once for each task, names the files that count."""
     spark = docs.sparkSession
-    ship_package(spark)
     source = bpe.read_model(path)
     shared = spark.sparkContext.broadcast(source)
     folder = folder.rstrip("/")
@@ -218,7 +217,7 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int, length: int = 20
             if out is not None:
                 out.close()
 
-    src.mapInArrow(run, schema).write.parquet(index_path)
+    src.transform(mapped, run, schema).write.parquet(index_path)
     index = spark.read.schema(schema).parquet(index_path)
     # ids before each shard: as many numbers as shards
     totals = sorted((r.part, r.n) for r in index.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
@@ -231,7 +230,6 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int, length: int = 20
 def read_crc(index: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``index`` with ids_crc32, the crc32 of each document's ids, read back
     from its shard, as little-endian unsigned 32-bit integers."""
-    ship_package(index.sparkSession)
     # by shard, over a fixed number of tasks: an index row is small, what it names is not
     n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     src = (index.select(id_col, "start", "n_tokens", "shard", "at").repartition(n, "shard")
@@ -252,4 +250,4 @@ def read_crc(index: DataFrame, id_col: str = "doc_id") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int64())],
                                              names=[*b.schema.names, "ids_crc32"])
 
-    return src.mapInArrow(run, schema)
+    return src.transform(mapped, run, schema)

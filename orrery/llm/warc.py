@@ -26,8 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orrery.llm.common import make_dir, open_fs, open_mapped
-from orrery.session import ship_package
+from orrery.llm.common import make_dir, mapped, open_fs, open_mapped
 
 # fixed values of the seekable format
 SKIPPABLE = 0x184D2A5E
@@ -141,7 +140,6 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0, frame_bytes: int =
     A task writes a file under a name of its own; the index, which Spark
     commits once for each task, names the files that count."""
     spark = pages.sparkSession
-    ship_package(spark)
     folder = folder.rstrip("/")
     make_dir(folder)
     body = F.coalesce("html", F.lit("")).cast("binary")
@@ -182,7 +180,7 @@ def write(pages: DataFrame, folder: str, min_bytes: int = 0, frame_bytes: int =
                 out.close()
 
     index_path = f"{folder}/index"
-    rows.mapInArrow(run, schema).write.parquet(index_path)
+    rows.transform(mapped, run, schema).write.parquet(index_path)
     return spark.read.schema(schema).parquet(index_path)
 
 
@@ -195,7 +193,6 @@ def read(index: DataFrame, payload: bool = True) -> DataFrame:
     full payload's size and digest, refers_to, and the payload (revisits: null;
     all null if ``payload`` is false). A record whose payload doesn't have the
     size and digest that its head states raises."""
-    ship_package(index.sparkSession)
     schema = READ if payload else T.StructType(READ.fields[:-1])
 
     def number(urn: str | None):
@@ -227,4 +224,4 @@ def read(index: DataFrame, payload: bool = True) -> DataFrame:
     n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by_file = (index.select("file", "frame", "at", "bytes").repartition(n, "file")
                .sortWithinPartitions("file", "frame", "at"))
-    return by_file.mapInArrow(run, schema)
+    return by_file.transform(mapped, run, schema)
