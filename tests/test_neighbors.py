@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from orrery.operators.neighbors import knn_join, lof_filter, lof_scores
 from orrery.operators.smote import smote
@@ -72,3 +73,13 @@ def test_catalog_lof_matches_brute_force(spark):
     ids = pdf.obj_id.values
     exp, _ = _brute_lof(X, ids, 20)
     np.testing.assert_allclose(got.loc[ids, "lof_score"].values, exp, rtol=1e-9)
+
+
+def test_smote_keeps_classes_of_any_type_apart(spark):
+    from orrery.operators.smote import smote
+    rows = [(i, "a", [float(i % 5), 0.0]) for i in range(12)] + [(20 + i, "b", [100.0 + i, 0.0]) for i in range(3)]
+    for cast in ("string", "double"):
+        lab = F.col("label") if cast == "string" else F.when(F.col("label") == "a", 0.2).otherwise(0.7)
+        df = spark.createDataFrame(rows, "id long, label string, vec array<double>").withColumn("label", lab)
+        out = smote(df, "label", "id", "vec", k=2).where("is_synthetic").collect()
+        assert len(out) == 9 and all(r.vec[0] >= 100 for r in out)
