@@ -151,4 +151,22 @@ SQL: dict[str, str] = {
             CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
             CASE WHEN page_id <> first THEN first END AS refers_to
         FROM p""",
+    "op9_suffixdedup": """
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+        n AS (SELECT r, doc_id, b, octet_length(b) AS n_bytes FROM d),
+        w AS (SELECT r, i, md5(b[i:i + 199]) AS g
+              FROM (SELECT r, b, unnest(range(1, n_bytes - 198)) AS i FROM n WHERE n_bytes >= 200)),
+        t AS (SELECT g FROM w GROUP BY g HAVING count(*) > 1),
+        s AS (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS p FROM w SEMI JOIN t USING (g)),
+        u AS (SELECT r, i, sum(CASE WHEN p IS NULL OR i > p + 200 THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY r ORDER BY i) AS run FROM s),
+        runs AS (SELECT r, min(i) AS a, max(i) + 199 AS z FROM u GROUP BY r, run),
+        gaps AS (SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM runs),
+        kept AS (SELECT r, count(*) AS n_spans, sum(z - a + 1) AS n_removed, max(z) AS last,
+                     string_agg(CASE WHEN a - 1 > before THEN hex(b[before + 1:a - 1]) ELSE '' END, '' ORDER BY a) AS h
+                 FROM gaps JOIN n USING (r) GROUP BY r)
+        SELECT doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+            sha256(CASE WHEN n_spans IS NULL THEN b
+                WHEN last < n_bytes THEN unhex(h || hex(b[last + 1:n_bytes])) ELSE unhex(h) END) AS kept_sha256
+        FROM n LEFT JOIN kept USING (r)""",
 }
