@@ -72,8 +72,6 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
         F.sum(F.when(F.col("true_label") == F.col("pred_label"), F.col("n")).otherwise(0)).alias("tp"))
     per_pred = cm.groupBy(F.col("pred_label").alias("lab")).agg(F.sum("n").alias("predicted"))
     z = lambda num, den: F.when(den > 0, num / den).otherwise(F.lit(0.0))
-    # rows without a known label are in no class
-    rows_all = cm.agg(F.sum("n").alias("all_rows"))
     pc = (per_true.join(per_pred, "lab")
                   .withColumn("precision", z(F.col("tp"), F.col("predicted")))
                   .withColumn("recall", z(F.col("tp"), F.col("support")))
@@ -91,7 +89,10 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
                  F.sum("precision").alias("p"), F.sum("recall").alias("rc"), F.sum("f1_score").alias("f"),
                  F.sum(F.col("precision") * F.col("support")).alias("wp"),
                  F.sum(F.col("recall") * F.col("support")).alias("wr"),
-                 F.sum(F.col("f1_score") * F.col("support")).alias("wf")).join(rows_all)
+                 F.sum(F.col("f1_score") * F.col("support")).alias("wf"))
+    # rows without a known label are in no class
+    all_rows = cm.where("true_label IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("none")).first()[0]
+    tot = tot.withColumn("all_rows", F.col("s") + F.lit(all_rows))
     s = F.col("s")
     summary = tot.select(F.explode(F.array(
         F.struct(F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
@@ -127,7 +128,8 @@ def _score_counts(df: DataFrame, label: str, scores: Mapping) -> DataFrame:
 
 
 def _roc_base(df, label, scores, n_buckets):
-    d = _score_counts(df, label, scores)
+    # distinct scores, written once: totals and running sums read this table
+    d = cut_lineage(_score_counts(df, label, scores), "scores")
     # class totals: one map-side combined aggregate, len(scores) rows -> broadcast
     tot = d.groupBy("cls").agg(F.sum("pos").alias("P"), F.sum("neg").alias("Nn"))
     d = running_sums(d, ["cls"], "score", ["pos", "neg"], n_buckets=n_buckets)

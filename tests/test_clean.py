@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from orrery.operators.clean import clean, impute_median, missing_counts, nan_to_null
@@ -58,3 +59,16 @@ def test_pairwise_complete_correlation(spark):
     df = spark.createDataFrame(pdf)
     corr = {(r["col_a"], r["col_b"]): r["corr"] for r in correlation_matrix(df, digits=None).collect()}
     assert math.isclose(corr[("a", "b")], pdf.corr().loc["a", "b"], rel_tol=1e-12)
+
+
+@pytest.mark.parametrize("max_exact", [100, 100_000])
+def test_quantiles_of_constant_few_valued_and_continuous_columns(spark, max_exact):
+    rng = np.random.default_rng(0)
+    n = 5000
+    p = pd.DataFrame({"same": np.ones(n), "few": rng.integers(0, 3, n).astype(float), "x": rng.normal(size=n),
+                      "mixed": np.where(rng.random(n) < 0.5, 7.0, rng.normal(size=n))})
+    probs = [0, 0.1, 0.5, 0.99, 1]
+    got = exact_quantiles(spark.createDataFrame(p), list(p.columns), probs, accuracy=200, max_exact=max_exact)
+    for c in p.columns:
+        for q in probs:
+            assert got[c, q] == pytest.approx(p[c].quantile(q), abs=1e-12)
