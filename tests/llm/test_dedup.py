@@ -8,7 +8,6 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from orrery.llm import bytehash, decontaminate, simhash, suffixdedup
 from orrery.llm.common import components
