@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orrery.functions.columns import hash_unit, key_hash
 from orrery.operators.scale import fit_standard
 
 MAX_SPARK_DEPTH = 30
@@ -100,6 +101,17 @@ def _depth(max_depth: int | None) -> int:
     return MAX_SPARK_DEPTH if max_depth is None else max_depth
 
 
+def bounded_rows(df: DataFrame, max_rows: int | None, key_cols: Sequence[str] = ("obj_id",),
+                 seed: int = 7) -> DataFrame:
+    """About ``max_rows`` rows of a larger table to fit on, by a hash of the
+    key, so the choice is the same in every run; all rows if it has no more,
+    or if ``max_rows`` is None. The seed must not be that of the split, whose
+    hash has already decided which rows are here."""
+    if max_rows is None or (n := df.count()) <= max_rows:
+        return df
+    return df.where(hash_unit(key_hash(list(key_cols), seed)) < F.lit(max_rows / n))
+
+
 def train_random_forest(train: DataFrame, features: Sequence[str], label: str = "label",
                         num_trees: int = 100, max_depth: int | None = None, seed: int = 42,
                         scale: bool = True, **rf_args) -> PipelineModel:
