@@ -59,3 +59,23 @@ def test_copies_and_odd_vectors(spark):
     assert got == {q: [(j, round(float(s), 6)) for j, s in v] for q, v in want.items()}
     assert ann.search(df.limit(0)).count() == 0
     assert ann.search(df.where("vec_id = 20")).count() == 0
+
+
+def unit(x):
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def even(rng, n):
+    return unit(rng.normal(size=(n, 64)))
+
+
+@pytest.mark.parametrize("made, n", [(even, 12000)])
+def test_recall_holds_on_skewed_vectors_and_larger_tables(spark, made, n):
+    x = made(np.random.default_rng(5), n).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 0, 0) for i, v in enumerate(x)], SCHEMA)
+    got = {}
+    for r in ann.search(df, k=10, every=20, block=64, curves=12).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = exact(range(n), x, 10, 20)
+    assert got.keys() == want.keys()
+    assert sum(len(got[q] & {j for j, _ in want[q]}) for q in want) / (10 * len(want)) >= 0.9
