@@ -65,11 +65,23 @@ def unit(x):
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def one_long(rng, n):
+    x = unit(rng.normal(size=(n, 16)))
+    x[7] *= 100
+    return x
+
+
+def one_cluster(rng, n):
+    x = unit(rng.normal(size=(n, 16)))
+    x[: n // 3] = unit(x[0] + 5e-5 * rng.normal(size=(n // 3, 16)))
+    return x[rng.permutation(n)]
+
+
 def even(rng, n):
     return unit(rng.normal(size=(n, 64)))
 
 
-@pytest.mark.parametrize("made, n", [(even, 12000)])
+@pytest.mark.parametrize("made, n", [(one_long, 4000), (one_cluster, 4000), (even, 12000)])
 def test_recall_holds_on_skewed_vectors_and_larger_tables(spark, made, n):
     x = made(np.random.default_rng(5), n).astype(np.float32)
     df = spark.createDataFrame([(i, v.tolist(), 0, 0) for i, v in enumerate(x)], SCHEMA)
