@@ -275,10 +275,11 @@ def _counted_windows(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def _contexts(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """Texts of the spans ``wanted(k1, k2, cls, span, at, single, crowded)``."""
+    """Texts of the spans ``wanted(k1, k2, cls, span, at, single, crowded)``.
+    Rows of equal keys are copies: their spans are wanted once, of one copy."""
     lists = wanted.groupBy("k1", "k2").agg(
-        F.collect_list(F.struct("cls", "span", "at", "single", "crowded")).alias("want"))
-    src = rows.join(lists, ["k1", "k2"])
+        F.collect_set(F.struct("cls", "span", "at", "single", "crowded")).alias("want"))
+    src = rows.dropDuplicates(["k1", "k2"]).join(lists, ["k1", "k2"])
     schema = "cls long, span long, k1 long, k2 int, at long, single boolean, body binary, crowded boolean"
 
     def run(it):
@@ -339,7 +340,8 @@ def repeats(docs: DataFrame, length: int = 200, crowd: int = 2000, id_col: str =
     release(spark)
     found = (whole.unionByName(_sorted_buckets(contexts.where("NOT crowded"), length))
              .unionByName(_counted_windows(contexts.where("crowded"), length)))
-    lists, p_lists = write(found.groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("found")), "lists")
+    # a set: copies of a row find the same ranges, and each copy gets the list
+    lists, p_lists = write(found.groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "hi")).alias("found")), "lists")
     drop_stage(spark, p_again, p_kinds, p_edges, p_told, p_contexts)
     release(spark)
     return lists, p_lists

@@ -139,6 +139,21 @@ def test_repeats_match_brute_force(spark, docs, length, crowd):
         (r[0], *w) for r, w in zip(ROWS, want))
 
 
+def test_copies_share_one_list_of_ranges(spark):
+    # repeats that end inside the texts, so that the copies' spans are also wanted for sorting
+    rows = [(3, BASE)] * 30 + [(None, BASE)] * 30 + [(4, "other " + BASE[100:1500] + prose(40, 11))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    lists, _ = suffixdedup.repeats(df)
+    assert all(len(r.found) == len({(x.lo, x.hi) for x in r.found}) for r in lists.collect())
+    keys = suffixdedup.keyed(df, "doc_id", "text")
+    wanted = keys.selectExpr("k1", "k2", "1L AS cls", "2L AS span", "0L AS at", "false AS single", "false AS crowded")
+    assert suffixdedup._contexts(keys, wanted, 200).count() == 3
+    got = suffixdedup.remove_repeats(df).collect()
+    want = plain_removed([t for _, t in rows], 200)
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == Counter(
+        (i, *w) for (i, _), w in zip(rows, want))
+
+
 def test_long_text_is_cut_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(suffixdedup, "PIECE", 700)
     rows = [t.encode() for t in (BASE, "xyz" + BASE, prose(300, 9) + BASE[500:1500] + prose(40, 10))]
