@@ -418,7 +418,7 @@ def q_score_batch(spark, sf):
     from orrery.operators.score import score
     from orrery.operators.train import train_random_forest
     df = labelled_split(spark, sf)
-    m = train_random_forest(df.where("data_split = 'TRAIN'"), FEATURES, "label", num_trees=20, max_depth=10)
+    m = train_random_forest(df.where("data_split = 'TRAIN'"), FEATURES, "label", num_trees=RF_TREES, max_depth=10)
     path = save_model(spark, m, stage_path(spark, "model"), FEATURES, CLASS_LABELS)
     model, features, names, _ = load_model(spark, path)
     return score(prepare.cleaned_observations(spark, sf).repartition(spark.sparkContext.defaultParallelism, KEY),
