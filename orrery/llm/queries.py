@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orrery.llm import ann, bpe, chat, decontaminate, langid, lm, simhash, suffixdedup, tokenfile, warc
+from orrery.llm import (ann, bpe, chat, decontaminate, divergence, langid, lm, simhash, suffixdedup, tokenfile,
+                        warc)
 from orrery.llm.common import table
 from orrery.session import cut_lineage, stage_path
 
@@ -89,6 +90,11 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("train_tokens", F.lit(model.total).cast("long")))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of the sources of each language over all documents."""
+    return divergence.report(divergence.audit(table(spark, sf_dir, "documents"), min_docs=3), most=200)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_ann": op2_ann,
@@ -100,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_suffixdedup": op9_suffixdedup,
     "op10_lm": op10_lm,
+    "op11_divergence": op11_divergence,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -169,4 +176,32 @@ SQL: dict[str, str] = {
             sha256(CASE WHEN n_spans IS NULL THEN b
                 WHEN last < n_bytes THEN unhex(h || hex(b[last + 1:n_bytes])) ELSE unhex(h) END) AS kept_sha256
         FROM n LEFT JOIN kept USING (r)""",
+    "op11_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        one AS (SELECT r, lang, source, t, count(*) AS n FROM (SELECT r, lang, source, unnest(w) AS t FROM d)
+                GROUP BY ALL),
+        kept AS (SELECT lang, t, sum(n) AS lang_n FROM one GROUP BY lang, t HAVING count(*) >= 3),
+        langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS total FROM kept GROUP BY lang),
+        grp AS (SELECT DISTINCT lang, source FROM d),
+        cnt AS (SELECT lang, source, t, sum(n) AS n FROM one GROUP BY ALL),
+        cell AS (SELECT g.lang, g.source, k.t, coalesce(c.n, 0) AS n, k.lang_n
+                 FROM grp g JOIN kept k USING (lang) LEFT JOIN cnt c USING (lang, source, t)),
+        tot AS (SELECT lang, source, sum(n) AS total FROM cell GROUP BY ALL),
+        prob AS (SELECT lang, source, t, n,
+                     1 + (1000000000::HUGEINT * (n + 1)) // (tot.total + v) AS p,
+                     1 + (1000000000::HUGEINT * (lang_n + 1)) // (langs.total + v) AS q
+                 FROM cell JOIN tot USING (lang, source) JOIN langs USING (lang)),
+        pr AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+               FROM prob a JOIN prob b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL),
+        parts AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+            FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pr ON pr.lang = a.lang AND pr.source = a.source AND pr.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', t, CAST((p - q) * (p - q) // q AS BIGINT) FROM prob WHERE n > 0 AND p > q)
+        SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+        FROM parts QUALIFY part = 'pair' OR rank <= 200""",
 }
