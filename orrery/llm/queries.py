@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orrery.llm import (ann, bpe, chat, decontaminate, divergence, langid, lm, simhash, suffixdedup, tokenfile,
-                        warc)
+from orrery.llm import (ann, bpe, chat, decontaminate, divergence, langid, lm, periodic, simhash, suffixdedup,
+                        tokenfile, warc)
 from orrery.llm.common import table
 from orrery.session import cut_lineage, stage_path
 
@@ -95,6 +95,25 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.report(divergence.audit(table(spark, sf_dir, "documents"), min_docs=3), most=200)
 
 
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document; every tenth document, by the
+    checksum of its id, is read periodically from some word on."""
+
+    def planted(doc_id, n):
+        import zlib
+
+        import numpy as np
+        if doc_id is None or n == 0 or (h := zlib.crc32(str(doc_id).encode())) % 10:
+            return None
+        g = h // 10
+        a = g % n
+        i, p = np.arange(n), 1 + (n - a) // (3 + g % 8)
+        return np.where(i < a, i, a + (i - a) % p)
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return periodic.digests(periodic.runs(docs, least=6, exponent=4, order=planted))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_ann": op2_ann,
@@ -107,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffixdedup": op9_suffixdedup,
     "op10_lm": op10_lm,
     "op11_divergence": op11_divergence,
+    "op12_periodic": op12_periodic,
     "pipeline": corpus_pipeline.run,
 }
 
