@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from orrery.llm import (ann, bpe, chat, decontaminate, divergence, langid, lm, periodic, simhash, suffixdedup,
-                        tokenfile, warc)
+from orrery.llm import (ann, bpe, chat, decontaminate, divergence, langid, licenses, lm, periodic, simhash,
+                        suffixdedup, tokenfile, warc)
 from orrery.llm.common import table
 from orrery.session import cut_lineage, stage_path
 
@@ -114,6 +114,12 @@ def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(periodic.runs(docs, least=6, exponent=4, order=planted))
 
 
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    got = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.drop("matches").withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_ann": op2_ann,
@@ -127,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lm": op10_lm,
     "op11_divergence": op11_divergence,
     "op12_periodic": op12_periodic,
+    "op13_licenses": op13_licenses,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -224,4 +231,33 @@ SQL: dict[str, str] = {
             SELECT lang, source, 'term', t, CAST((p - q) * (p - q) // q AS BIGINT) FROM prob WHERE n > 0 AND p > q)
         SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
         FROM parts QUALIFY part = 'pair' OR rank <= 200""",
+    "op13_licenses": r"""
+        WITH tpl(t, label, body) AS (VALUES """ + ", ".join(
+            f"({k}, '{label}', '{body}')" for k, (label, body) in enumerate(licenses.TEMPLATES)) + r"""),
+        phr(label, phrase) AS (VALUES """ + ", ".join(f"('{a}', '{b}')" for a, b in licenses.PHRASES) + r"""),
+        tw AS (SELECT t, label, regexp_extract_all(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM tpl),
+        ts AS (SELECT t, label, len(list_distinct(w)) AS m, w,
+                   CAST(2 ** ceil(log2(2 * len(w))) AS BIGINT) AS win FROM tw),
+        vocab AS (SELECT DISTINCT t, unnest(w) AS word FROM ts),
+        d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        pos AS (SELECT r, w[i] AS word, i - 1 AS i FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+        seen AS (SELECT r, t, word, i // (win // 2) - k AS blk
+                 FROM pos JOIN vocab USING (word) JOIN ts USING (t), (VALUES (0), (1)) x(k)
+                 WHERE i // (win // 2) >= k),
+        got AS (SELECT r, t, count(DISTINCT word) AS n FROM seen GROUP BY r, t, blk),
+        hit AS (SELECT r, label, n / m AS share FROM got JOIN ts USING (t) WHERE n * 5 >= m * 4),
+        base AS (SELECT r, label, unnest(list_filter(range(len(w)), lambda i:
+                     w[i + 1:i + len(string_split(phrase, ' '))] = string_split(phrase, ' '))) AS i FROM d, phr),
+        b AS (SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+                  string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY r),
+        l AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+              FROM (SELECT r, label FROM base UNION ALL SELECT r, label FROM hit) GROUP BY r),
+        s AS (SELECT r, max(share) AS share FROM hit GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+            coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+            CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0)::DOUBLE END AS score
+        FROM d LEFT JOIN b USING (r) LEFT JOIN l USING (r) LEFT JOIN s USING (r)""",
 }

@@ -18,7 +18,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered_queries():
     assert sorted(QUERIES) == sorted([*(n for n in QUERIES if n.startswith("op")), "pipeline"])
-    assert {n[2:].split("_")[0] for n in QUERIES if n != "pipeline"} == {str(k) for k in range(1, 13)}
+    assert {n[2:].split("_")[0] for n in QUERIES if n != "pipeline"} == {str(k) for k in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
