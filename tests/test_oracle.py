@@ -27,7 +27,7 @@ def test_query_matches_oracle(spark, con, key):
 
 def test_every_query_has_entry_or_is_rows_only():
     assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
-    assert set(QUERIES) - set(SQL) == {"score_batch", "lof_catalog"}
+    assert set(QUERIES) - set(SQL) == {"score_batch", "lof_catalog", "grid_search"}
 
 
 def test_entry_runs(spark):

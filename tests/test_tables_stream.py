@@ -110,7 +110,7 @@ def test_csv_quarantine(spark, tmp_path):
 
 def test_stream_scoring_equals_batch(spark):
     from orrery.operators.score import score
-    from orrery.operators.train import train_random_forest
+    from orrery.operators.forest import train_random_forest
     from orrery.plans.catalog import FEATURES, labelled_split
     from orrery.sources.observations import CLASS_LABELS
     from orrery.streaming.scoring import score_stream
