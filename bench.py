@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = ["split_counts", "describe", "correlation_matrix", "roc_auc", "knn_join", "lof_scores",
-            "smote_counts", "process_incremental", "train_rf", "train_kernel_svm", "score_batch"]
+            "smote_counts", "lof_catalog", "process_incremental", "train_rf", "train_kernel_svm", "train_gbt", "score_batch"]
 
 
 def main() -> None:

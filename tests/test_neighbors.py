@@ -33,6 +33,23 @@ def test_knn_matches_brute_force_with_many_blocks(spark):
         assert list(g.neighbor_id) == list(ids[nn[qi]])
 
 
+def test_knn_of_copies_ties_and_batches(spark):
+    """Forty equal vectors, ties on a grid and string ids; several regions, small cells and small batches."""
+    r = np.random.RandomState(0)
+    X = np.vstack([r.normal(0, .1, (80, 3)), np.tile([[1., 1, 1]], (40, 1)), r.randint(0, 4, (80, 3)), [[20., 20, 20]]])
+    ids = [f"k{i:04d}" for i in r.permutation(len(X))]
+    rows = [(i, v.tolist()) for i, v in zip(ids, X)] + [("none", None)]
+    df = spark.createDataFrame(rows, "id string, vec array<double>").repartition(5)
+    D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1))
+    want = {a: [b for _, b in sorted((D[i, j], b) for j, b in enumerate(ids) if b != a)[:7]] for i, a in enumerate(ids)}
+    for args in ({}, {"n_pivots": 5, "block_size": 8, "batch_mb": 0.0005}):
+        got = knn_join(df, 7, "id", "vec", **args).orderBy("id", "rank").toPandas()
+        assert {a: list(x.neighbor_id) for a, x in got.groupby("id")} == want
+    assert knn_join(df.limit(0), 7).columns == ["id", "neighbor_id", "rank", "distance"]
+    two = knn_join(df.where("id < 'k0002'"), 7).collect()  # fewer points than k
+    assert len(two) == 2 and {r["id"] for r in two} == {"k0000", "k0001"}
+
+
 def test_lof_matches_numpy_and_far_point_is_removed(spark):
     df, X, ids = _clusters(spark)
     got = lof_scores(df, 20, "id", "vec").toPandas().set_index("id").loc[ids]
