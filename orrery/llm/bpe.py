@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orrery.llm.common import batches, mapped
+from orrery.llm.common import batches, kept, mapped
 
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BEYOND = re.compile("[\U00010000-\U0010ffff]").search
@@ -299,7 +299,7 @@ class Bpe:
         return [flat[a:max(a, b - self.gap)].decode("utf-8", "replace") for a, b in zip(cut, cut[1:])]
 
 
-_MODELS: dict[str, Bpe] = {}
+_MODELS: dict[str, Bpe] = kept(__name__, {})
 
 
 def model_of(source: bytes) -> Bpe:

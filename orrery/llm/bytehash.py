@@ -8,9 +8,11 @@ so the tables of powers have a bounded size.
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 M = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-CHUNK = 1 << 21
+CHUNK = 1 << 19
+LONG = 256  # words of more bytes have hashes of their own: long words can be made whose sums are equal
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -52,7 +54,8 @@ def spans(s: np.ndarray, lo, hi) -> np.ndarray:
 
 def words(buf: np.ndarray, fold: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and hashes of the maximal runs of bytes b with
-    ``member[fold[b]]``; the hashes are of the folded bytes."""
+    ``member[fold[b]]``; the hashes are of the folded bytes (of long words
+    XXH64)."""
     out, at = [], 0
     while at < len(buf):
         size = CHUNK
@@ -68,7 +71,10 @@ def words(buf: np.ndarray, fold: np.ndarray, member: np.ndarray) -> tuple[np.nda
             size *= 2
         edge = np.flatnonzero(np.diff(np.r_[False, inside, False].view(np.int8)))
         lo, hi = edge[::2], edge[1::2]
-        out.append((lo + at, hi + at, spans(running(b), lo, hi)))
+        h = spans(running(b), lo, hi)
+        for k in np.flatnonzero(hi - lo > LONG).tolist():
+            h[k] = xxhash.xxh64_intdigest(b[lo[k]:hi[k]].tobytes())
+        out.append((lo + at, hi + at, h))
         at += len(b)
     if not out:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)

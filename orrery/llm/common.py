@@ -51,15 +51,38 @@ ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 ROWS = 2000  # texts in an Arrow batch, where the session leaves Spark's default of 10,000
 
 
+_KEPT: list[tuple[str, dict]] = []
+
+
+def kept(owner: str, table: dict) -> dict:
+    """A table that a module keeps in Python workers from task to task. Tasks
+    of other modules empty it: a worker holds what its present work needs."""
+    _KEPT.append((owner, table))
+    return table
+
+
+def let_go(owner: str) -> None:
+    """Empty what modules other than ``owner`` keep in this worker."""
+    others = [t for name, t in _KEPT if name != owner and t]
+    for t in others:
+        t.clear()
+    if others:
+        trim()
+
+
 def mapped(df: DataFrame, run, schema) -> DataFrame:
     """``df.mapInArrow`` with this package on the executors, batches of a size
-    for texts, and workers that give the memory of a task back when it ends."""
+    for texts, and workers that give the memory of a task back when it ends,
+    and that of other operators when it begins."""
     spark = df.sparkSession
     ship_package(spark)
     if spark.conf.get(ROWS_SETTING, "10000") == "10000":
         spark.conf.set(ROWS_SETTING, str(ROWS))
 
+    owner = run.__module__
+
     def lean(it):
+        let_go(owner)
         try:
             yield from run(it)
         finally:
@@ -103,6 +126,23 @@ def free_name(taken: list[str], name: str) -> str:
     return name
 
 
+def aside(docs: DataFrame, taken) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns of the names ``taken`` under free names, and
+    the new names by the old ones."""
+    low = {t.lower() for t in taken}
+    names, used = {}, [*docs.columns, *taken]
+    for c in docs.columns:
+        if c.lower() in low:
+            names[c] = free_name(used, c)
+            used.append(names[c])
+    return docs.withColumnsRenamed(names), names
+
+
+def back(got: DataFrame, docs: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns of ``docs`` under their own names, after ``aside``."""
+    return got.select(*[F.col(f"`{names.get(c, c)}`").alias(c) for c in docs.columns])
+
+
 def text_of_bytes(col: str):
     """Column expression: the text of UTF-8 bytes, without the characters of
     which bytes are missing."""

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orrery.llm import bytehash
-from orrery.llm.common import batches, mapped, open_fs, text_bytes
+from orrery.llm.common import aside, back, batches, kept, mapped, open_fs, text_bytes
 from orrery.session import stage_path
 
 BLOCK_BYTES = 4 << 20
@@ -144,7 +144,7 @@ class SuffixArray:
         return longest, where, w_at, w_lo[w_at], w_hi[w_at], w_len
 
 
-_BLOCKS: dict[tuple, Block] = {}
+_BLOCKS: dict[tuple, Block] = kept(__name__, {})
 
 
 def _block(uri: str, window: int) -> Block:
@@ -255,11 +255,9 @@ def inspect(docs: DataFrame, items: DataFrame, window: int = 10, text_col: str =
 
 def clean(docs: DataFrame, items: DataFrame, window: int = 10, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs; columns as in
-    ``docs``, which may not hold the names that ``inspect`` adds."""
-    extra = [c for c in ADDED.names if c in docs.columns]
-    if extra:
-        raise ValueError(f"columns {extra} are in use")
-    return inspect(docs, items, window, text_col).where("n_hit = 0").select(*docs.columns)
+    ``docs``, whatever their names."""
+    hidden, names = aside(docs, ADDED.names)
+    return back(inspect(hidden, items, window, names.get(text_col, text_col)).where("n_hit = 0"), docs, names)
 
 
 def digest(names: list[str]) -> str:

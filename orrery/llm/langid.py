@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orrery.llm.common import batches, mapped, text_bytes
+from orrery.llm.common import aside, back, batches, mapped, text_bytes
 
 CELLS = 1 << 15
 MAX_LANGUAGES = 512
@@ -170,11 +170,10 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return src.transform(mapped, run, schema)
 
 
-def keep_known(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.3) -> DataFrame:
-    """Rows of ``docs`` whose text has a language with at least ``least`` of
-    the text; the columns are those of ``docs``."""
-    extra = [c for c in ("lang_pred", "score", "mixture") if c in docs.columns]
-    if extra:
-        raise ValueError(f"columns {extra} are in use")
-    got = predict(docs, model, text_col)
-    return got.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+def keep_known(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.0) -> DataFrame:
+    """Rows of ``docs`` whose text has a language, of which the largest has at
+    least the share ``least``: by default a text goes only if it has none (null,
+    or no letter). The columns are those of ``docs``, whatever their names."""
+    hidden, names = aside(docs, ("lang_pred", "score", "mixture"))
+    got = predict(hidden, model, names.get(text_col, text_col))
+    return back(got.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)), docs, names)

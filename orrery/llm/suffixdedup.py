@@ -37,7 +37,7 @@ from orrery.session import drop_stage, stage_path
 
 GRAM = 40
 V = 64
-PIECE = 1 << 20  # window starts that are worked on at once
+PIECE = 1 << 18  # window starts that are worked on at once
 BATCH = 4 << 20  # bytes of spans that are sorted at once
 LOW = np.uint64(0xFFFFFF)
 

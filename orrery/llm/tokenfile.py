@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from orrery.llm import bpe
-from orrery.llm.common import batches, make_dir, mapped, open_fs, open_mapped
+from orrery.llm.common import batches, kept, make_dir, mapped, open_fs, open_mapped
 
 ROWS = 256  # sequences in a record batch
 PIECES = 1_000_000  # pieces whose ids a Python worker keeps, at about 200 bytes
@@ -86,7 +86,7 @@ class LibraryEncoder:
                 for p, (parts, got) in zip(plain, split)]
 
 
-_ENCODERS: dict[str, LibraryEncoder] = {}
+_ENCODERS: dict[str, LibraryEncoder] = kept(__name__, {})
 
 
 def encoder_of(source: bytes) -> LibraryEncoder:

@@ -238,3 +238,42 @@ def test_word_hashes_do_not_depend_on_the_chunk(monkeypatch):
     for a, b in zip(whole, bytehash.words(data, decontaminate.FOLD, decontaminate.MEMBER)):
         assert (a == b).all()
     assert hashlib.sha256(b"1,2").hexdigest() == decontaminate.digest(["1", "2"])
+
+
+# -- long words, clashing names, tables kept in workers
+
+def thue_morse(n):
+    return bytes(97 + bin(i).count("1") % 2 for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 4096, 70_000])
+def test_long_words_of_equal_sums_are_told_apart(spark, n):
+    a = thue_morse(n)
+    b = bytes(195 - c for c in a)  # the same with a and b exchanged
+    flat = np.frombuffer(a + b" " + b, np.uint8)
+    member = np.zeros(256, bool)
+    member[97:123] = True
+    assert len(set(bytehash.words(flat, np.arange(256, dtype=np.uint8), member)[2].tolist())) == 2
+    docs = spark.createDataFrame([(1, a.decode()), (2, "x " + b.decode() + " y")], "doc_id long, text string")
+    items = spark.createDataFrame([("i", b.decode())], "item_id string, text string")
+    assert {r.doc_id: r.n_hit for r in decontaminate.inspect(docs, items, 10).collect()} == {1: 0, 2: 1}
+
+
+def test_filters_keep_columns_of_any_name(spark):
+    from orrery.llm import langid
+    rows = [(1, "the cat sat on the mat and the dog", "en", 0.5, "m", "i", 3), (2, "42 --", "en", 0.5, "m", "i", 4),
+            (3, "le chat et le chien sont sur la table", "fr", 0.1, "m", "i", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double, mixture string, items string, N_hit int")
+    model = langid.train(docs.where("doc_id <> 2"))
+    known = langid.keep_known(docs, model)
+    assert known.columns == docs.columns and sorted(map(tuple, known.collect())) == [rows[0], rows[2]]
+    items = spark.createDataFrame([("i", "sat on the mat")], "item_id string, text string")
+    left = decontaminate.clean(docs, items, 10)
+    assert left.columns == docs.columns and sorted(map(tuple, left.collect())) == rows[1:]
+
+
+def test_workers_let_go_of_other_tables():
+    from orrery.llm import common
+    mine, other = common.kept("a", {1: 2}), common.kept("b", {3: 4})
+    common.let_go("a")
+    assert mine == {1: 2} and other == {}
