@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orrery.operators.binned import sums
 from orrery.operators.clean import numeric_columns
 from orrery.operators.quantiles import exact_quantiles
 
@@ -44,60 +46,48 @@ def class_distribution(df: DataFrame, target: str = "class", digits: int = 6) ->
                                                digits).alias("share"))
 
 
+MAX_COLUMNS = 1_000  # of a correlation matrix: its sums come to the driver
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None,
                        digits: int | None = 6) -> DataFrame:
-    """Long Pearson matrix (col_a, col_b, corr) in two aggregate passes.
-
-    Pass 1: column means and NULL counts. Pass 2: plain sums of products of
-    values shifted by those means (shifting avoids the cancellation of raw
-    moment sums; plain sums keep the aggregate codegen'd and cheap).
-    Pairwise-complete like pandas: a pair involving a column with NULLs sums
-    over the rows where both are present, with its own count and shifted
-    sums. A constant column gives NULL (pandas: NaN), never a divide error."""
+    """Long Pearson matrix (col_a, col_b, corr) in two passes: means, then one
+    product of the shifted rows with themselves and with the mask of what is
+    present, in blocks of rows (shifting avoids the cancellation of raw sums).
+    Pairwise-complete like pandas: each pair has the count and the sums of the
+    rows where both are present. A constant column gives NULL (pandas: NaN)."""
+    spark = df.sparkSession
     cols = list(cols) if cols is not None else numeric_columns(df)
-    v = {c: F.col(f"`{c}`").cast("double") for c in cols}
-    first = df.agg(F.count("*").alias("_n"),
-                   *[F.avg(v[c]).alias(f"m{j}") for j, c in enumerate(cols)],
-                   *[F.count_if(v[c].isNull()).alias(f"z{j}") for j, c in enumerate(cols)]).first()
-    n_all = first["_n"]
-    mean = {c: (first[f"m{j}"] if first[f"m{j}"] is not None else 0.0) for j, c in enumerate(cols)}
-    has_null = {c: first[f"z{j}"] > 0 for j, c in enumerate(cols)}
-    x = {c: v[c] - F.lit(mean[c]) for c in cols}
-    aggs, plan = [], []
-    for j, c in enumerate(cols):   # per-column shifted sums for NULL-free pairs
-        aggs += [F.sum(x[c]).alias(f"s{j}"), F.sum(x[c] * x[c]).alias(f"q{j}")]
-    for ai, a in enumerate(cols):
-        for bi in range(ai, len(cols)):
-            b = cols[bi]
-            key = f"{ai}_{bi}"
-            aggs.append(F.sum(x[a] * x[b]).alias(f"p{key}"))
-            if has_null[a] or has_null[b]:
-                both = v[a].isNotNull() & v[b].isNotNull()
-                aggs += [F.count_if(both).alias(f"n{key}"),
-                         F.sum(F.when(both, x[a])).alias(f"sa{key}"),
-                         F.sum(F.when(both, x[b])).alias(f"sb{key}"),
-                         F.sum(F.when(both, x[a] * x[a])).alias(f"qa{key}"),
-                         F.sum(F.when(both, x[b] * x[b])).alias(f"qb{key}")]
-            plan.append((a, b, ai, bi, key, has_null[a] or has_null[b]))
-    sums = df.agg(*aggs)
-    rows = []
-    for a, b, ai, bi, key, masked in plan:
-        if masked:
-            n, sa, sb = F.col(f"n{key}"), F.col(f"sa{key}"), F.col(f"sb{key}")
-            qa, qb = F.col(f"qa{key}"), F.col(f"qb{key}")
-        else:
-            n, sa, sb = F.lit(n_all), F.col(f"s{ai}"), F.col(f"s{bi}")
-            qa, qb = F.col(f"q{ai}"), F.col(f"q{bi}")
-        cov = F.col(f"p{key}") - sa * sb / n
-        var_a, var_b = qa - sa * sa / n, qb - sb * sb / n
-        den = F.sqrt(var_a * var_b)
-        corr = F.when((n > 1) & (var_a > 0) & (var_b > 0), F.try_divide(cov, den))
-        if digits is not None:
-            corr = F.round(corr, digits)
-        for ca, cb in ([(a, b)] if a == b else [(a, b), (b, a)]):
-            rows.append(F.struct(F.lit(ca).alias("col_a"), F.lit(cb).alias("col_b"),
-                                 corr.alias("corr")))
-    return sums.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
+    if len(cols) > MAX_COLUMNS:
+        raise ValueError(f"more than {MAX_COLUMNS} columns")
+    schema = "col_a string, col_b string, corr double"
+    if not cols:
+        return spark.createDataFrame([], schema)
+    src = df.select(*[F.col(f"`{c}`").cast("double").alias(f"v{j}") for j, c in enumerate(cols)])
+    first = src.agg(*[F.avg(c) for c in src.columns]).first()
+    mean, p = np.array([m or 0.0 for m in first], np.float64), len(cols)
+
+    def of_task(batches):
+        total = np.zeros((4, p, p))
+        for b in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in b.columns], 1)
+            gone = np.stack([c.is_null().to_numpy(zero_copy_only=False) for c in b.columns], 1)
+            x = np.where(gone, 0.0, x - mean)
+            here = (~gone).astype(np.float64)
+            for k, (a, c) in enumerate(((here, here), (x, here), (x * x, here), (x, x))):
+                total[k] += a.T @ c
+        return {0: total}
+
+    got = sums(src, of_task, reader=lambda it, extra: it, size=32 * p * p)
+    n, s, q, c = got[0].reshape(4, p, p) if got else np.zeros((4, p, p))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        var = q - s * s / n  # of column a over the rows that have b too
+        corr = (c - s * s.T / n) / np.sqrt(var * var.T)
+        varies = var > 1e-24 * n * (mean * mean)[:, None]  # else rounding is all there is
+        known = (n > 1) & varies & varies.T
+    rows = [(a, b, float(corr[i, j]) if known[i, j] else None) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    out = spark.createDataFrame(rows, schema)
+    return out if digits is None else out.withColumn("corr", F.round("corr", digits))
 
 
 def target_correlation(df: DataFrame, target: str = "class",

@@ -17,9 +17,13 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from orrery.session import ship_package
+
 
 def _val(c: str):
     return F.col(f"`{c}`").cast("double")
@@ -93,22 +97,61 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 
 
 def _round(df: DataFrame, active: list[_Statistic], accuracy: int) -> None:
-    """Narrow the brackets: one pass of sketches, one of counts."""
-    sketches = []
-    for j, s in enumerate(active):
+    """Narrow the brackets: one pass of sketches, one for each column and
+    bracket, and one pass that counts the values between all their ends."""
+    asked: dict[tuple, list[float]] = {}
+    place = []
+    for s in active:
         at = (s.k - s.below + 0.5) / s.inside
+        key = (s.col, s.lo, s.hi)
         ends = [max(0.0, at - s.margin), min(1.0, at + s.margin)]
-        sketches.append(F.percentile_approx(s.bracket(), ends, accuracy).alias(f"a{j}"))
-    ends = df.agg(*sketches).first()
-    checks = []
-    for j, s in enumerate(active):
-        lo, hi = ends[f"a{j}"]
-        v = s.bracket()
-        checks += [F.count_if(v < lo).alias(f"l{j}"), F.count_if(v == lo).alias(f"e{j}"),
-                   F.count_if((v > lo) & (v < hi)).alias(f"m{j}"), F.count_if(v == hi).alias(f"h{j}")]
-    got = df.agg(*checks).first()
-    for j, s in enumerate(active):
-        s.narrow(*ends[f"a{j}"], *(got[f"{x}{j}"] for x in "lemh"))
+        asked[key] = sorted({*asked.get(key, []), *ends})
+        place.append((key, ends))
+    keys = list(asked)
+    row = df.agg(*[F.percentile_approx(_in_bracket(*key), asked[key], accuracy).alias(f"a{j}")
+                   for j, key in enumerate(keys)]).first()
+    value = {(key, p): v for j, key in enumerate(keys) for p, v in zip(asked[key], row[j])}
+    found = [(value[key, ends[0]], value[key, ends[1]]) for key, ends in place]
+    edges: dict[str, list[float]] = {}
+    for s, pair in zip(active, found):
+        edges[s.col] = sorted({*edges.get(s.col, []), *pair})
+    less, equal = _counts_at(df, edges)
+    for s, (lo, hi) in zip(active, found):
+        a, b = (s.col, lo), (s.col, hi)
+        s.narrow(lo, hi, less[a] - s.below, equal[a], less[b] - less[a] - equal[a], equal[b])
+
+
+def _counts_at(df: DataFrame, edges: dict[str, list[float]]) -> tuple[dict, dict]:
+    """For each (column, edge): how many values lie below it, and at it. Each
+    task sorts its values into the cells between the edges of a column."""
+    cols = list(edges)
+    tables = [np.array(edges[c], np.float64) for c in cols]
+
+    def run(it):
+        total = [np.zeros(2 * len(e) + 1, np.int64) for e in tables]
+        for b in it:
+            for j, e in enumerate(tables):
+                v = b.column(j).drop_null().to_numpy(zero_copy_only=False)
+                i = np.searchsorted(e, v, "left")
+                at = e[np.minimum(i, len(e) - 1)] == v  # cells 2i: below edge i, 2i + 1: at it
+                total[j] += np.bincount(2 * i + at, minlength=len(total[j]))
+        j = np.repeat(np.arange(len(tables)), [len(t) for t in total])
+        cell = np.concatenate([np.arange(len(t)) for t in total])
+        yield pa.RecordBatch.from_arrays([pa.array(j, pa.int32()), pa.array(cell, pa.int32()), pa.array(np.concatenate(total))],
+                                         names=["j", "cell", "n"])
+
+    ship_package(df.sparkSession)
+    rows = (df.select(*[_val(c).alias(f"v{j}") for j, c in enumerate(cols)]).mapInArrow(run, "j int, cell int, n long")
+            .groupBy("j", "cell").agg(F.sum("n").alias("n")).collect())
+    got = [np.zeros(2 * len(e) + 1, np.int64) for e in tables]
+    for r in rows:
+        got[r.j][r.cell] = r.n
+    less, equal = {}, {}
+    for c, e, n in zip(cols, tables, got):
+        before = np.cumsum(n) - n
+        for i, x in enumerate(e.tolist()):
+            less[c, x], equal[c, x] = int(before[2 * i + 1]), int(n[2 * i + 1])
+    return less, equal
 
 
 def _rank(df: DataFrame, left: list[_Statistic]) -> None:
