@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orrery.operators.binned import sums
@@ -117,3 +117,56 @@ def table_info(df: DataFrame) -> DataFrame:
             for j, f in enumerate(df.schema.fields)]
     return (df.agg(F.count("*").alias("n_rows"))
               .select(F.explode(F.array(*cols)).alias("s"), "n_rows").select("s.*", "n_rows"))
+
+
+# Spark reads COUNT, MIN and MAX from parquet footers only through this reader
+_FOOTERS = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
+_RANGED = ("tinyint", "smallint", "int", "bigint", "float", "double", "date")
+
+
+def footer_plan(spark: SparkSession, paths: Sequence[str], ranges: bool = False) -> DataFrame:
+    """One row from the files' footers: ``rows`` and the present values
+    ``n{j}`` of each column j, or with ``ranges`` the least and greatest
+    number or date ``lo{j}`` and ``hi{j}``."""
+    reader = spark.newSession()
+    for key, value in _FOOTERS.items():
+        reader.conf.set(key, value)
+    df = reader.read.parquet(*paths)
+    if ranges:
+        return df.agg(F.count("*").alias("rows"), *_range_aggs(df))
+    return df.agg(F.count("*").alias("rows"), *[F.count(F.col(f"`{c}`")).alias(f"n{j}") for j, c in enumerate(df.columns)])
+
+
+def _range_aggs(df: DataFrame) -> list:
+    cols = [(j, F.col(f"`{f.name}`")) for j, f in enumerate(df.schema.fields) if f.dataType.simpleString() in _RANGED]
+    return [x for j, c in cols for x in (F.min(c).alias(f"lo{j}"), F.max(c).alias(f"hi{j}"))]
+
+
+def stored_profile(spark: SparkSession, paths: Sequence[str], nan: bool = True) -> DataFrame:
+    """(column_name, ordinal, data_type, n_rows, n_missing, low, high) of the
+    parquet files at ``paths`` from their footers: no column chunk is read for
+    rows and nulls. Footers don't tell NaN from other numbers: with ``nan`` the
+    fractional columns, and only they, are scanned for it (it counts as missing
+    and is no part of a range). Ranges are those of numbers, as doubles, else
+    NULL; they too are scanned where a file has none in its footer (all values
+    NULL or some NaN)."""
+    got = footer_plan(spark, paths).first().asDict()
+    df = spark.read.parquet(*paths)
+    fields = df.schema.fields
+    fractional = [(j, f.name) for j, f in enumerate(fields) if f.dataType.simpleString() in ("float", "double")]
+    if nan and fractional:
+        got |= df.agg(*[F.count(F.nanvl(F.col(f"`{c}`"), F.lit(None))).alias(f"n{j}") for j, c in fractional]).first().asDict()
+    try:
+        got |= footer_plan(spark, paths, ranges=True).first().asDict()
+    except Exception as e:
+        if "No min/max found" not in str(e):
+            raise
+        is_number = {c for _, c in fractional}
+        ranged = df.select(*[F.nanvl(F.col(f"`{c}`"), F.lit(None)).alias(c) if c in is_number else F.col(f"`{c}`")
+                             for c in df.columns])
+        got |= ranged.agg(F.count("*").alias("rows"), *_range_aggs(ranged)).first().asDict()
+    number = lambda x: float(x) if isinstance(x, (int, float)) else None
+    rows = [(f.name, j + 1, f.dataType.simpleString(), got["rows"], got["rows"] - got[f"n{j}"],
+             number(got.get(f"lo{j}")), number(got.get(f"hi{j}"))) for j, f in enumerate(fields)]
+    return spark.createDataFrame(
+        rows, "column_name string, ordinal int, data_type string, n_rows long, n_missing long, low double, high double")

@@ -604,6 +604,36 @@ def q_scan_typed(spark, sf):
 QUERIES["scan_typed"] = q_scan_typed
 
 
+def q_table_history(spark, sf):
+    """Processed catalog rows loaded, the others appended, all replaced by
+    those with a class: every version, and its rows by class as it is read now."""
+    t = T.Tables(spark, stage_path(spark, "tables"))
+    src = observations(spark, sf).select(KEY, TARGET, "is_processed")
+    t.load(src.where("is_processed"), "catalog_data")
+    t.load(src.where("NOT is_processed"), "catalog_data")
+    t.replace(src.where(F.col(TARGET).isNotNull()), "catalog_data")
+    from functools import reduce
+    rows = reduce(DataFrame.unionByName, [
+        t.read("catalog_data", v).groupBy(TARGET).agg(F.count("*").alias("n_rows")).withColumn("version", F.lit(v).cast("long"))
+        for v in t.versions("catalog_data")])
+    return rows.join(t.history("catalog_data").select("version", "operation", "parts", F.col("rows").alias("version_rows")), "version")
+
+
+QUERIES["table_history"] = q_table_history
+
+
+def q_stored_profile(spark, sf):
+    """Columns, rows, missing values and ranges of the stored catalog, from
+    the statistics of its files."""
+    t = T.Tables(spark, stage_path(spark, "tables"))
+    t.load(C.nan_to_null(observations(spark, sf)), "catalog_data")
+    return P.stored_profile(spark, t.paths("catalog_data"), nan=False)
+
+
+QUERIES["stored_profile"] = q_stored_profile
+
+
+
 # -- outlier removal on the catalog itself (the reference's use of LOF) -----
 CATALOG_LOF_FEATURES = ["alpha", "delta", "u", "g", "r", "i", "z", "rerun_id", "redshift",
                         "plate", "fiber_id"]

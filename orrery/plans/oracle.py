@@ -429,6 +429,20 @@ FROM f""")
 
 SQL["scan_typed"] = with_(OBS, "SELECT * FROM observations")
 
+SQL["table_history"] = with_(OBS + """,
+v AS (SELECT 0 AS version, 'create' AS operation, 1 AS parts, class FROM observations WHERE is_processed
+      UNION ALL SELECT 1, 'append', 2, class FROM observations
+      UNION ALL SELECT 2, 'replace', 1, class FROM observations WHERE class IS NOT NULL)""", """
+SELECT version, operation, parts, class, n_rows, CAST(sum(n_rows) OVER (PARTITION BY version) AS BIGINT) AS version_rows
+FROM (SELECT version, operation, parts, class, count(*) AS n_rows FROM v GROUP BY ALL)""")
+
+# of a written table, from its files' statistics
+SQL["stored_profile"] = with_(OBS, " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {j} AS ordinal, '{t}' AS data_type, count(*) AS n_rows, count(*) - count({c}) AS n_missing, "
+    + (f"CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high" if t in ("double", "int") else
+       "CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high") + " FROM observations"
+    for j, (c, t) in enumerate(OBSERVATION_TYPES.items(), 1)))
+
 # support of each class in the TEST split; the floor holds for each (a weak check beside the tests)
 for _key, _model in (("train_rf", "random_forest"), ("train_kernel_svm", "svm"), ("train_gbt", "gbt")):
     SQL[_key] = with_(SPLIT, f"""

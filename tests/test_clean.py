@@ -72,3 +72,17 @@ def test_quantiles_of_constant_few_valued_and_continuous_columns(spark, max_exac
     for c in p.columns:
         for q in probs:
             assert got[c, q] == pytest.approx(p[c].quantile(q), abs=1e-12)
+
+
+def test_stored_profile_reads_footers_alone(spark):
+    from orrery.operators.profile import footer_plan, stored_profile
+    from orrery.session import stage_path
+    path = stage_path(spark, "p")
+    rows = [(1, 1.5, "a", True), (2, float("nan"), None, None), (None, -3.0, "c", False), (4, None, "d", True)]
+    spark.createDataFrame(rows, "i int, x double, s string, b boolean").repartition(3).write.parquet(path)
+    plan = footer_plan(spark, [path])._jdf.queryExecution().toString()
+    assert "PushedAggregation: [COUNT(*), COUNT(i)" in plan
+    got = {r.column_name: (r.n_rows, r.n_missing, r.low, r.high) for r in stored_profile(spark, [path]).collect()}
+    assert got == {"i": (4, 1, 1.0, 4.0), "x": (4, 2, -3.0, 1.5), "s": (4, 1, None, None), "b": (4, 1, None, None)}
+    assert {r.column_name: r.n_missing for r in stored_profile(spark, [path], nan=False).collect()}["x"] == 1
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"

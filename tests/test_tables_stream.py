@@ -8,7 +8,7 @@ from orrery.operators.features import prepare_ingest
 from orrery.operators.incremental import process_incremental
 from orrery.session import ensure_checkpoint_dir, stage_path
 from orrery.sources.observations import observations
-from orrery.sources.tables import Tables, sample_processed
+from orrery.sources.tables import CommitConflict, Tables, sample_processed
 from orrery.streaming.incremental import read_sink, run_incremental
 from tests.conftest import SF_SMALL
 
@@ -62,6 +62,65 @@ def test_tables_hold_across_objects(spark):
     assert Tables(spark, root).vacuum("t1") == 1 and spark.table("t1").count() == 6
 
 
+def _while_writing(monkeypatch, table, other):
+    """The next part that ``table`` writes is finished only after ``other`` has run."""
+    write = table._write_part
+
+    def slow(*args):
+        part = write(*args)
+        monkeypatch.setattr(table, "_write_part", write)
+        other()
+        return part
+
+    monkeypatch.setattr(table, "_write_part", slow)
+
+
+def test_an_append_beside_a_replacement_is_kept(spark, monkeypatch):
+    root = stage_path(spark, "t")
+    a, b = Tables(spark, root), Tables(spark, root)
+    a.load(spark.range(3), "t2")
+    _while_writing(monkeypatch, a, lambda: b.replace(spark.range(100, 105), "t2"))
+    assert a.load(spark.range(10, 12), "t2") == 2
+    assert sorted(r.id for r in b.read("t2").collect()) == [10, 11, 100, 101, 102, 103, 104]
+    assert b.read("t2", 0).count() == 3 and b.read("t2", 1).count() == 5
+    assert [tuple(r)[:5] for r in b.history("t2").orderBy("version").collect()] == [
+        (0, "create", None, 1, 3), (1, "replace", 0, 1, 5), (2, "append", 0, 2, 7)]
+    with pytest.raises(ValueError):
+        a.read("t2", 9)
+    assert a.vacuum("t2") == 1 and a.versions("t2") == [1, 2] and a.read("t2").count() == 7
+
+
+def test_a_replacement_beside_an_append_is_refused(spark, monkeypatch):
+    root = stage_path(spark, "t")
+    a, b = Tables(spark, root), Tables(spark, root)
+    a.load(spark.range(3), "t3")
+    _while_writing(monkeypatch, a, lambda: b.load(spark.range(10, 12), "t3"))
+    with pytest.raises(CommitConflict):
+        a.replace(spark.range(1), "t3")
+    assert b.read("t3").count() == 5
+    assert a.replace(spark.range(1), "t3") == 1 and b.read("t3").count() == 1  # having seen it
+    _while_writing(monkeypatch, a, lambda: b.load(spark.range(2), "t4", "fail"))
+    with pytest.raises(CommitConflict):
+        a.load(spark.range(1), "t4", "fail")
+    assert b.read("t4").count() == 2
+
+
+def test_a_number_is_committed_once(spark):
+    t = Tables(spark, stage_path(spark, "t"))
+    t.load(spark.range(1), "t5")
+    entry = {"version": 1, "operation": "append", "seen": 0, "parts": [], "committed_at": ""}
+    assert t._put("t5", entry) and not t._put("t5", {**entry, "parts": [1]})
+    assert t.commit("t5", 1)["parts"] == [] and t.versions("t5") == [0, 1]
+
+
+def test_many_writers_lose_no_part(spark):
+    from concurrent.futures import ThreadPoolExecutor
+    root = stage_path(spark, "t")
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda k: Tables(spark, root).load(spark.range(k, k + 1), "t6"), range(6)))
+    assert sorted(r.id for r in Tables(spark, root).read("t6").collect()) == list(range(6))
+
+
 def test_failed_ingest_is_logged_and_raised(spark):
     t = Tables(spark, stage_path(spark, "t"))
     assert t.ingest(spark.range(5), "x", lambda df: df) == 5
