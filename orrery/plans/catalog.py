@@ -633,6 +633,27 @@ def q_stored_profile(spark, sf):
 QUERIES["stored_profile"] = q_stored_profile
 
 
+def q_sketch_profile(spark, sf):
+    """Statistics of the catalog stored in two parts from the parts' sketches,
+    the second part's added to the first's, and whether they keep their bounds."""
+    from orrery.operators.sketches import Sketches, statistics, within_bounds
+    from orrery.sources.observations import NUMERIC_COLUMNS
+    t = T.Tables(spark, stage_path(spark, "tables"))
+    src = observations(spark, sf)
+    sketches = Sketches(t, NUMERIC_COLUMNS)
+    read = []
+    for part in ("is_processed", "NOT is_processed"):
+        t.load(src.where(part), "catalog_data")
+        read.append(sketches.refresh("catalog_data"))
+    stats = cut_lineage(statistics(sketches.of("catalog_data")), "sketch-profile")
+    return (stats.join(within_bounds(t.read("catalog_data"), stats), "column_name")
+            .select("column_name", "n_rows", "n_missing", "low", "high", "quantiles_hold", "distinct_holds",
+                    F.lit(read[1]).alias("parts_read")))
+
+
+QUERIES["sketch_profile"] = q_sketch_profile
+
+
 
 # -- outlier removal on the catalog itself (the reference's use of LOF) -----
 CATALOG_LOF_FEATURES = ["alpha", "delta", "u", "g", "r", "i", "z", "rerun_id", "redshift",

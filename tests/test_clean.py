@@ -86,3 +86,29 @@ def test_stored_profile_reads_footers_alone(spark):
     assert got == {"i": (4, 1, 1.0, 4.0), "x": (4, 2, -3.0, 1.5), "s": (4, 1, None, None), "b": (4, 1, None, None)}
     assert {r.column_name: r.n_missing for r in stored_profile(spark, [path], nan=False).collect()}["x"] == 1
     assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_sketches_of_parts_merge(spark):
+    import numpy as np
+    from orrery.operators.sketches import Sketches, distinct_error, rank_error, statistics, within_bounds
+    from orrery.session import stage_path
+    from orrery.sources.tables import Tables
+    t = Tables(spark, stage_path(spark, "t"))
+    s = Sketches(t, ["a", "b", "c"])
+    x = np.random.RandomState(5).normal(size=30_000).round(4)
+    rows = [(float(v), None if k % 3 else float(k % 100), None) for k, v in enumerate(x)]
+    schema = "a double, b double, c double"
+    t.load(spark.createDataFrame(rows[:20_000], schema), "x")
+    assert s.refresh("x") == 1
+    t.load(spark.createDataFrame(rows[20_000:], schema), "x")
+    stats = statistics(s.of("x"))
+    assert s.refresh("x") == 0
+    got = {r.column_name: r for r in stats.collect()}
+    assert [got[c].n_missing for c in "abc"] == [0, 20_000, 30_000] and got["c"].quantiles is None and got["c"].distinct == 0
+    for p, q in zip((.25, .5, .75), got["a"].quantiles):
+        assert abs((x < q).mean() - p) < rank_error() + 1e-3
+    assert abs(got["a"].distinct / len(set(x.tolist())) - 1) < distinct_error()
+    assert (got["a"].low, got["a"].high) == (x.min(), x.max())
+    assert all(r.quantiles_hold and r.distinct_holds for r in within_bounds(t.read("x"), stats).collect())
+    first = {r.column_name: r.n_rows for r in statistics(s.of("x", 0)).collect()}
+    assert first == {"a": 20_000, "b": 20_000, "c": 20_000}
