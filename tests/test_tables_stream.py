@@ -144,6 +144,23 @@ def test_stream_keeps_every_row_and_the_last_of_each_key(spark):
     put([row("a", 9.0, "x"), row("e", None, "x")])
     assert run_incremental(**args) == 2
     got = {r.obj_id: (r.is_processed, r.u_g_color) for r in read_sink(spark, f"{base}/sink").collect()}
+    from orrery.streaming.incremental import compact, vacuum
+    whole = read_sink(spark, f"{base}/sink")
+    files = sorted(whole.inputFiles())
+    assert compact(spark, f"{base}/sink", buckets=4) == 2 and compact(spark, f"{base}/sink") is None
+    packed = read_sink(spark, f"{base}/sink")
+    assert packed.exceptAll(whole).count() == whole.exceptAll(packed).count() == 0 and packed.columns == whole.columns
+    assert all("/_base/2/" in f for f in packed.inputFiles()) and len(packed.inputFiles()) <= 4
+    assert "Window" not in packed._jdf.queryExecution().toString() and files
+    put([row("a", 7.0, "x"), row(None, 1.0, "x"), row("z", 1.0, "x")])
+    put([row("a", 8.0, "x"), row(None, 2.0, "x")])
+    assert run_incremental(**args, compact_after=9) == 5
+    later = {(r.obj_id, r.g): r.u_g_color for r in read_sink(spark, f"{base}/sink").collect() if r.obj_id in (None, "a", "z")}
+    assert later == {("a", 8.0): -3.0, (None, 1.0): 4.0, (None, 2.0): 3.0, ("z", 1.0): 4.0}
+    before = read_sink(spark, f"{base}/sink").collect()
+    assert run_incremental(**args, compact_after=2) == 0 and vacuum(spark, f"{base}/sink") == 6
+    after = read_sink(spark, f"{base}/sink")
+    assert all("/_base/4/" in f for f in after.inputFiles()) and sorted(map(str, after.collect())) == sorted(map(str, before))
     # the median of g over the unprocessed rows of the first run is 2
     assert got == {"a": (True, -4.0), "b": (True, 3.0), "p": (True, None), "q": (True, None), "c": (False, None),
                    "d": (True, 3.0), "e": (True, 3.0)}
