@@ -39,6 +39,7 @@ GRAM = 40
 V = 64
 PIECE = 1 << 18  # window starts that are worked on at once
 BATCH = 4 << 20  # bytes of spans that are sorted at once
+CROWD = BATCH // 512  # spans of an anchor that a task sorts: their texts are within BATCH
 LOW = np.uint64(0xFFFFFF)
 
 
@@ -300,7 +301,7 @@ def _contexts(rows: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return src.transform(mapped, run, schema)
 
 
-def repeats(docs: DataFrame, length: int = 200, crowd: int = 2000, id_col: str = "doc_id",
+def repeats(docs: DataFrame, length: int = 200, crowd: int = CROWD, id_col: str = "doc_id",
             text_col: str = "text") -> tuple[DataFrame, str]:
     """(k1, k2, found): for every row of ``docs`` with repeats its byte ranges,
     overlapping and in any order; and the folder that holds them."""
@@ -350,7 +351,7 @@ def repeats(docs: DataFrame, length: int = 200, crowd: int = 2000, id_col: str =
 ADDED = T.StructType().add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
 
 
-def remove_repeats(docs: DataFrame, length: int = 200, crowd: int = 2000, id_col: str = "doc_id",
+def remove_repeats(docs: DataFrame, length: int = 200, crowd: int = CROWD, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans (maximal removed runs) and
     kept (the bytes that stay): every byte goes that is covered by a string of
