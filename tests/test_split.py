@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from orrery.operators.sampling import (hash_folds, random_split, select_first_per_group,
                                        stratified_allocation, stratified_split)
+from tests.conftest import SF_SMALL
 
 
 def _toy(spark, counts):
@@ -49,3 +50,16 @@ def test_random_split_and_folds_are_deterministic(spark):
     assert s1.sort_values("obj_id")["data_split"].tolist() == s2.sort_values("obj_id")["data_split"].tolist()
     f = hash_folds(df, 3).groupBy("fold").count().collect()
     assert sorted(r["fold"] for r in f) == [0, 1, 2]
+
+
+def test_split_tasks_grow_with_the_rows(spark, monkeypatch):
+    from orrery.plans import catalog
+    cores = spark.sparkContext.defaultParallelism
+    most = catalog.SPLIT_ROWS
+    assert catalog.split_tasks(spark, 0) == cores == catalog.split_tasks(spark, cores * most)
+    assert catalog.split_tasks(spark, 100 * cores * most + 1) == 100 * cores + 1
+    monkeypatch.setattr(catalog, "SPLIT_ROWS", 500)  # 600 rows of lineitem or more for each core
+    split = catalog.labelled_split(spark, SF_SMALL)
+    assert len(split.inputFiles()) > cores
+    sizes = [r.n for r in split.groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) < 2 * 500
