@@ -85,7 +85,7 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every document; a fifth of the rows is held out of training."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn(
         "held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False)))
-    model = lm.train(docs.where("NOT held_out"), stage_path(spark, "trie"))
+    model = lm.train(docs.where("NOT held_out"), stage_path(spark, "trie"), order=3)
     return (lm.score(docs, model).drop("text")
             .withColumn("train_tokens", F.lit(model.total).cast("long")))
 

@@ -239,3 +239,45 @@ def test_scores_match_counting(spark, docs, shard_tokens):
         assert abs(r.score - full) <= len(t) / lm.CODES
     none = lm.train(docs.limit(0), stage_path(spark, "none"))
     assert {r.score for r in lm.score(docs, none).collect()} == {0.0}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.sets(st.integers(0, 2**62), min_size=1, max_size=200), st.integers(0, 62), st.integers(0, 10), st.integers(0, 90))
+def test_elias_fano_access_and_ranges(values, shift, begin, many):
+    v = np.unique(np.array([x >> shift for x in values], np.uint64))
+    seq = eliasfano.Sequence(eliasfano.encode(v, int(v[-1]) + 1))
+    assert seq.at(np.arange(len(v))).tolist() == v.tolist()
+    lo, hi = min(begin, len(v)), min(begin + many, len(v))
+    got = seq.find(v, np.full(len(v), lo), np.full(len(v), hi))
+    assert got.tolist() == [k if lo <= k < hi else -1 for k in range(len(v))]
+
+
+@pytest.mark.parametrize("shard_tokens", [1 << 20, 40])
+def test_order_three_matches_counting(spark, shard_tokens):
+    # 1,500 contexts of over 40 tokens in few shards, and one pair with that many
+    rows = [(k, f"the cat w{k % 1500} a{k % 7} w{k % 1500} b the cat") for k in range(1500)]
+    rows += [(2000 + k, " ".join(f"w{j}" for j in range(1500))) for k in range(50)] + [(3000, None), (3001, "the dog w5 zz the")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    train = docs.where("doc_id % 5 != 1")
+    model = lm.train(train, stage_path(spark, "trie3"), shard_tokens=shard_tokens, order=3)
+    toks = lambda t: ["<s>", *re.findall(r"[^\x20\x09-\x0D]+", t or ""), None]
+    grams = Counter()
+    for k, t in rows:
+        if k % 5 != 1:
+            t = toks(t)
+            grams.update(tuple(t[i:i + n]) for n in (1, 2, 3) for i in range(len(t) - n + 1))
+    total, v = model.total, model.size
+    assert [level.before[-1] for level in model.levels] == [sum(len(g) == n for g in grams) for n in (2, 3)]
+    if shard_tokens == 40:
+        assert len(model.levels[0].hot) > 1024 and len(model.levels[1].hot)
+
+    def p(gram):
+        if len(gram) == 1:
+            return (grams[gram] + 0.5) / (total + 0.5 * (v + 1))
+        n = grams[gram[:-1]]
+        return (grams[gram] + n**model.power * p(gram[1:])) / (n + n**model.power) if n else p(gram[1:])
+
+    for r in lm.score(docs, model).collect():
+        t = toks(r.text)
+        want = sum(math.log10(p(tuple(t[max(0, i - 2):i + 1]))) for i in range(1, len(t)))
+        assert abs(r.score - want) <= len(t) / lm.CODES, r
