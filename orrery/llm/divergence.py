@@ -16,6 +16,7 @@ of a language that a tile of sources doesn't have are added by their number.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +30,7 @@ from orrery.session import cut_lineage, ship_package
 
 SCALE = 1_000_000_000  # probabilities are whole numbers of 1/SCALE
 PIECE = 4 << 20  # bytes of text counted at once
-HELD = 200_000  # terms a task holds before it writes them
+HELD = 600_000  # terms a task holds before it writes them, at about 300 bytes
 TILE = 64  # sources compared at once
 CELLS = 100_000  # about so many (source, term) cells in a chunk
 
@@ -40,14 +41,21 @@ KEY = ["lid", "d", "part"]  # a term of a language: digests, and the string wher
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c > 127 else 32 for c in range(256))
 
 
-def _count(text: bytes) -> Counter:
-    """Occurrences of each term; a long text is split in pieces."""
-    flat, out, at = text.translate(_FOLD), Counter(), 0
+def _parts(text: bytes) -> Iterator[list[bytes]]:
+    """All terms of a text in order, those of a long text in pieces."""
+    flat, at = text.translate(_FOLD), 0
     while at < len(flat):
         end = flat.find(b" ", at + PIECE) if at + PIECE < len(flat) else -1
         end = len(flat) if end < 0 else end
-        out.update(flat[at:end].split())
+        yield flat[at:end].split()
         at = end
+
+
+def _count(text: bytes) -> Counter:
+    """Occurrences of each term."""
+    out = Counter()
+    for terms in _parts(text):
+        out.update(terms)
     return out
 
 
@@ -75,10 +83,13 @@ def counted(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> D
         for b in batches(it, PIECE, "text"):
             for lang, source, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), text_bytes(b.column(2))):
                 n, df = held.setdefault((lang, source), (Counter(), Counter()))
-                one = _count(text)
                 size -= len(df)
-                n.update(one)
-                df.update([None, *one])
+                # lists and sets are counted in one step, without a dictionary for each text
+                one = {None}
+                for terms in _parts(text):
+                    n.update(terms)
+                    one.update(terms)
+                df.update(one)
                 size += len(df)
             if size > HELD:
                 yield from out()

@@ -83,3 +83,12 @@ def test_counts_beyond_64_bits_of_product(spark):
 def test_terms_of_a_piece_end_at_a_blank(monkeypatch):
     monkeypatch.setattr(divergence, "PIECE", 3)
     assert divergence._count("Ab,Ab;abab ç".encode()) == Counter({b"ab": 2, b"abab": 1, "ç".encode(): 1})
+
+
+def test_terms_come_in_pieces(monkeypatch):
+    monkeypatch.setattr(divergence, "PIECE", 10)
+    text = ("Some words, in-a long TEXT 12 " * 20 + "x" * 50).encode()
+    parts = list(divergence._parts(text))
+    assert len(parts) > 10 and all(len(b" ".join(p)) < 60 for p in parts)
+    assert [t for p in parts for t in p] == [b"some", b"words", b"in", b"a", b"long", b"text"] * 20 + [b"x" * 50]
+    assert list(divergence._parts(b"")) == [] and divergence._count(text)[b"long"] == 20
