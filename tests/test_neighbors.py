@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from orrery.operators import neighbors
 from orrery.operators.neighbors import knn_join, lof_filter, lof_scores
 from orrery.operators.smote import smote
 
@@ -50,6 +51,40 @@ def test_knn_of_copies_ties_and_batches(spark):
     assert len(two) == 2 and {r["id"] for r in two} == {"k0000", "k0001"}
 
 
+def test_search_passes_pairs_through_a_product(monkeypatch):
+    """Far from the origin, beside an outlier, with vectors that are not finite and of every scale: the
+    pairs of a plain search, and few distances worked out."""
+    r = np.random.RandomState(2)
+    base = r.normal(size=(600, 24))
+    for X in (base, 1e4 + base, 1e12 + base, 1e-60 * base, 1e-160 * base, 1e60 * base, np.vstack([base, np.full((1, 24), 1e15)]),
+              np.round(base[:, :2], 1), np.vstack([base, np.full((1, 24), np.nan)])):
+        cells = [X[i:i + 60] for i in range(0, len(X), 60)]
+        nodes = neighbors._Nodes(pd.DataFrame([neighbors._bounds(c, c.mean(0)) for c in cells]))
+        ones = [np.ones(len(c), int) for c in cells]
+        D, worked = neighbors._dist_to(X, X), []
+        plain = neighbors._dist_to
+        monkeypatch.setattr(neighbors, "_dist_to", lambda a, b: (worked.append(len(a) * len(b)), plain(a, b))[1])
+        theta = neighbors._search(cells[1], nodes.one(1), ones, np.full(60, np.inf), cells, nodes, 6, 2)[3]
+        worked.clear()
+        q, e, d, _ = neighbors._search(cells[1], nodes.one(1), ones, theta, cells, nodes, 6)
+        monkeypatch.setattr(neighbors, "_dist_to", plain)
+        mine = D[60:120]
+        kth = np.sort(mine, axis=1)[:, 5:6]
+        want = mine <= kth * neighbors.SLACK
+        got = np.zeros(mine.shape, bool)
+        got[q, e] = True
+        assert (got == want).all() and (mine[q, e] == d).all()
+        if X is base:
+            assert sum(worked) < 2 * 60 * len(cells)  # of the nodes' centres
+
+
+def test_vectors_of_float_values_take_half_the_bytes():
+    X = np.array([[0.5, 1.0], [0.1, 2.0]])
+    for v, n in ((X[:1], 8), (X, 32), (np.array([[np.nan, 1.0]]), 16), (np.array([[1e300, 1.0]]), 16)):
+        cell = pd.DataFrame([{"vecs": neighbors._packed(v), "n": len(v), "centre": [0.0, 0.0]}]).iloc[0]
+        assert len(cell.vecs) == n and np.array_equal(neighbors._vectors(cell), v, equal_nan=True)
+
+
 def test_lof_matches_numpy_and_far_point_is_removed(spark):
     df, X, ids = _clusters(spark)
     got = lof_scores(df, 20, "id", "vec").toPandas().set_index("id").loc[ids]
