@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from orrery import session
 from orrery.operators import neighbors
 from orrery.operators.neighbors import knn_join, lof_filter, lof_scores
 from orrery.operators.smote import smote
@@ -94,6 +95,19 @@ def test_lof_matches_numpy_and_far_point_is_removed(spark):
     assert 1201 not in set(kept["id"]) and len(kept) == 120
 
 
+def test_lof_leaves_no_passing_tables(spark):
+    """Of the neighbours' tables none stays beside the scores, of a search only those that its result reads."""
+    def written(fn):
+        before = set(session._STAGES)
+        fn()
+        return sorted(p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in set(session._STAGES) - before)
+
+    df, _, _ = _clusters(spark)
+    assert written(lambda: lof_filter(df, 5, "id", "vec").collect()) == ["stage"]
+    assert written(lambda: lof_scores(df, 5, "id", "vec").collect()) == ["knn", "lrd"]
+    assert written(lambda: knn_join(df, 5, "id", "vec").collect()) == ["knn-entries", "knn-lists", "knn-points"]
+
+
 def test_smote_balances_and_stays_on_segments(spark):
     rows = [(i, [float(i), float(i % 5)], 0) for i in range(7)] + \
            [(100 + i, [10.0 + i, 1.0], 1) for i in range(3)] + [(200 + i, [-5.0, float(i)], 2) for i in range(2)]
