@@ -81,10 +81,11 @@ def links(fps: DataFrame, max_bits: int = 2, crowd: int = 32) -> DataFrame:
     variants = (one.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(BITS - 1))))
                 .select("fp", "j", F.col("fp").bitwiseAND(half).bitwiseAND(F.bitwise_not(bit)).alias("seg")))
     keys = variants.groupBy("j", "seg").agg(F.count("*").alias("n")).where("n > 1")
-    shared = cut_lineage(variants.join(keys, ["j", "seg"]), "simhash-variants")
+    # merged, whatever Spark sizes them at: it holds 64 rows of an explode for one, and a table for as small as its files
+    shared = cut_lineage(variants.join(keys.hint("merge"), ["j", "seg"]), "simhash-variants")
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("gp"))) <= max_bits
     plain = shared.where(F.col("n") <= crowd)
-    pairs = (plain.join(plain.select("j", "seg", F.col("fp").alias("gp")), ["j", "seg"])
+    pairs = (plain.join(plain.select("j", "seg", F.col("fp").alias("gp")).hint("merge"), ["j", "seg"])
              .where((F.col("fp") < F.col("gp")) & near)
              .select(F.col("gp").alias("a"), F.col("fp").alias("b")))
     crowded = shared.where(F.col("n") > crowd).select("fp").distinct()

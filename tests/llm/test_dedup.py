@@ -96,6 +96,17 @@ def test_links_keep_every_component(spark, bits, crowd):
     assert [got.get(s, s) for s in signed] == want
 
 
+def test_variants_are_not_broadcast(spark, monkeypatch):
+    """Spark sizes the 64 rows that an explode makes of one as one row."""
+    plans, cut = [], simhash.cut_lineage
+    monkeypatch.setattr(simhash, "cut_lineage", lambda df, name: (plans.append(df), cut(df, name))[1])
+    rows = [(int(f),) for f in np.random.default_rng(3).integers(0, 1 << 62, 50)]
+    plans.append(simhash.links(spark.createDataFrame([*rows, (rows[0][0] ^ 3,)], "fp long")))
+    assert plans[-1].count() == 1
+    said = [df._jdf.queryExecution().sparkPlan().toString() for df in plans]
+    assert ["SortMergeJoin" in x for x in said] == [True, True] and not any("BroadcastHashJoin" in x for x in said)
+
+
 def test_one_row_of_each_group_stays(spark, docs):
     got = simhash.drop_near_duplicates(docs)
     assert got.columns == docs.columns
